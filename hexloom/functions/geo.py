@@ -22,6 +22,7 @@ DELTA = (2 * _N - 2 / 3 * _N**2 - 2 * _N**3, 7 / 3 * _N**2 - 8 / 5 * _N**3, 56 /
 ECC = 2 * math.sqrt(_N) / (1 + _N)
 K0, FALSE_E, LON0 = 0.9996, 500000.0, 9.0
 SQRT3 = math.sqrt(3.0)
+NOWHERE = -(1 << 20)
 
 
 def _atanh(x: Column) -> Column:
@@ -57,15 +58,16 @@ def utm32_inverse(x: Column, y: Column) -> tuple[Column, Column]:
 
 
 def with_axial(df: DataFrame, x: str, y: str, edge: float, q: str = "q", r: str = "r") -> DataFrame:
-    """Add axial (q, r) of the pointy-top hexagon of that edge that contains (x, y)."""
+    """Add axial (q, r) of the pointy-top hexagon of that edge that contains (x, y);
+    :data:`NOWHERE` for NULL. Never NULL, as in :func:`with_morton`."""
     df = df.withColumns({"_qf": (F.col(x) * F.lit(SQRT3 / 3) - F.col(y) / 3) / F.lit(edge), "_rf": F.col(y) * F.lit(2 / 3) / F.lit(edge)})
     df = df.withColumns({"_qi": F.rint("_qf"), "_ri": F.rint("_rf"), "_si": F.rint(-F.col("_qf") - F.col("_rf"))})
     df = df.withColumns({"_dq": F.abs(F.col("_qi") - F.col("_qf")), "_dr": F.abs(F.col("_ri") - F.col("_rf")), "_ds": F.abs(F.col("_si") + F.col("_qf") + F.col("_rf"))})
     q_off = (F.col("_dq") > F.col("_dr")) & (F.col("_dq") > F.col("_ds"))
     return df.withColumns(
         {
-            q: F.when(q_off, -F.col("_ri") - F.col("_si")).otherwise(F.col("_qi")).cast("long"),
-            r: F.when(~q_off & (F.col("_dr") > F.col("_ds")), -F.col("_qi") - F.col("_si")).otherwise(F.col("_ri")).cast("long"),
+            q: F.coalesce(F.when(q_off, -F.col("_ri") - F.col("_si")).otherwise(F.col("_qi")).cast("long"), F.lit(NOWHERE)),
+            r: F.coalesce(F.when(~q_off & (F.col("_dr") > F.col("_ds")), -F.col("_qi") - F.col("_si")).otherwise(F.col("_ri")).cast("long"), F.lit(NOWHERE)),
         }
     ).drop("_qf", "_rf", "_qi", "_ri", "_si", "_dq", "_dr", "_ds")
 
@@ -108,14 +110,15 @@ def equirect_m(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column
     return F.lit(EARTH_M) * F.sqrt(dx * dx + F.pow(F.radians(lat2 - lat1), 2))
 
 
-def spread_bits(v: Column) -> Column:
-    """The low 31 bits of ``v`` moved to the even bit places."""
-    x = v.cast("long").bitwiseAND(F.lit(0x7FFFFFFF))
-    for shift, mask in ((16, 0x0000FFFF0000FFFF), (8, 0x00FF00FF00FF00FF), (4, 0x0F0F0F0F0F0F0F0F), (2, 0x3333333333333333), (1, 0x5555555555555555)):
-        x = x.bitwiseOR(F.shiftleft(x, shift)).bitwiseAND(F.lit(mask))
-    return x
-
+def with_morton(df: DataFrame, u: Column, v: Column, code: str) -> DataFrame:
+    """Add the Z-order code of two integers from 0 to 2**31 - 1; ``u`` takes the even places.
 
-def morton(u: Column, v: Column) -> Column:
-    """Z-order code of two non-negative integers; ``u`` takes the even places."""
-    return spread_bits(u).bitwiseOR(F.shiftleft(spread_bits(v), 1))
+    Each doubling of the gaps is a column of its own, else the expression doubles too. The
+    code is never NULL (-1 instead): a join on a nullable key adds a filter on it, which the
+    optimizer would push below all these columns, written out in full.
+    """
+    low = F.lit(0x7FFFFFFF)
+    df = df.withColumns({"_u": u.cast("long").bitwiseAND(low), "_v": v.cast("long").bitwiseAND(low)})
+    for shift, mask in ((16, 0x0000FFFF0000FFFF), (8, 0x00FF00FF00FF00FF), (4, 0x0F0F0F0F0F0F0F0F), (2, 0x3333333333333333), (1, 0x5555555555555555)):
+        df = df.withColumns({c: F.col(c).bitwiseOR(F.shiftleft(c, shift)).bitwiseAND(F.lit(mask)) for c in ("_u", "_v")})
+    return df.withColumn(code, F.coalesce(F.col("_u").bitwiseOR(F.shiftleft("_v", 1)), F.lit(-1))).drop("_u", "_v")

@@ -72,7 +72,7 @@ def with_code(points: DataFrame, lat: str, lon: str, level: int, code: str) -> D
     ok = F.col(lat).between(-90, 90) & ~F.isnan(lon) & (F.abs(F.col(lon)) < 1e6)
     u = F.pmod(F.floor((F.col(lon) + 180) / 360 * n), F.lit(1 << level))
     v = F.least(F.floor((F.col(lat) + 90) / 180 * n), top)
-    return points.where(ok).withColumn(code, geo.morton(u, v))
+    return geo.with_morton(points.where(ok), u, v, code)
 
 
 def within_distance(centres: DataFrame, points: DataFrame, centre_id: str, point_id: str, radius_m: float, lat: str = "lat", lon: str = "lon") -> DataFrame:

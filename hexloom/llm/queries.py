@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..functions import text
 from ..plans import sql
 from ..session import table
-from . import packing, quantiles, survivorship, variants
+from . import leakage, packing, quantiles, survivorship, variants
 
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 CAPACITY = 2048
@@ -83,9 +83,27 @@ def p8_packed(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack(lengths, CAPACITY, "doc_id", "n_tokens")
 
 
+def p9_found(spark: SparkSession, sf: str) -> DataFrame:
+    return leakage.leaked_passages(table(spark, sf, "documents"), table(spark, sf, "eval_items")).select("doc_id", "item_id")
+
+
+def p9_items(spark: SparkSession, sf: str) -> DataFrame:
+    """Every item with the number of documents it leaked into."""
+    hits = p9_found(spark, sf).groupBy("item_id").agg(F.count(F.lit(1)).alias("documents"))
+    return table(spark, sf, "eval_items").select("item_id", "task").join(hits, "item_id", "left").na.fill({"documents": 0})
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (p1_found, p1_records, p4_found, p4_records, p7_percentiles, p7_builds, p8_packed)}
+    return {f.__name__: f for f in (p1_found, p1_records, p4_found, p4_records, p7_percentiles, p7_builds, p8_packed, p9_found, p9_items)}
+
 
+_LEAKS = """
+WITH w AS (SELECT {key}, regexp_extract_all(replace(lower({text}), 'ß', 'ss'), '[\\p{{L}}\\p{{N}}]+') AS w FROM {source})
+SELECT DISTINCT {key}, array_to_string(w[i : i + 19], ' ') AS s FROM w, unnest(range(1, len(w) - 18)) AS u(i)"""
+_P9 = f"""
+  d AS ({_LEAKS.format(key="doc_id", text="text", source="documents")}),
+  i AS ({_LEAKS.format(key="item_id", text="text", source="eval_items")}),
+  f AS (SELECT DISTINCT doc_id, item_id FROM d JOIN i ON d.s = i.s)"""
 
 _BAG = "nullif(array_to_string(list_sort(regexp_extract_all(replace(lower(nfc_normalize(name)), 'ß', 'ss'), '[\\p{L}\\p{N}]+')), ' '), '')"
 _GROUPED = f"""
@@ -108,6 +126,8 @@ WITH {_GROUPED},
         "p1_found": f"WITH {_GROUPED} SELECT first AS keep_row, row_id AS dup_row FROM h WHERE n > 1 AND row_id <> first",
         "p1_records": f"WITH {_GROUPED} SELECT first AS keep_row, n AS copies, name, zip FROM h WHERE row_id = first",
         "p4_found": ranked + " SELECT first AS group_row, fld, row_id AS source_row FROM u WHERE k = 1",
+        "p9_found": f"WITH {_P9} SELECT doc_id, item_id FROM f",
+        "p9_items": f"WITH {_P9} SELECT item_id, task, count(doc_id) AS documents FROM eval_items LEFT JOIN f USING (item_id) GROUP BY item_id, task",
         "p4_records": ranked
         + """
 SELECT first AS group_row, max(n) AS copies, max(name) FILTER (fld = 'name') AS name, max(school_type) FILTER (fld = 'school_type') AS school_type,

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..functions import text
 from ..plans import sql
 from ..session import table
-from . import leakage, packing, quantiles, survivorship, variants
+from . import leakage, packing, quantiles, residue, survivorship, variants
 
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 CAPACITY = 2048
@@ -93,8 +93,18 @@ def p9_items(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "eval_items").select("item_id", "task").join(hits, "item_id", "left").na.fill({"documents": 0})
 
 
+def p10_found(spark: SparkSession, sf: str) -> DataFrame:
+    return residue.residue(table(spark, sf, "documents")).select("doc_id")
+
+
+def p10_templates(spark: SparkSession, sf: str) -> DataFrame:
+    """The mined templates with their verdicts and how often they occur."""
+    found = residue.judged_templates(residue.mine(table(spark, sf, "documents")))
+    return found.groupBy(F.col("merged").alias("template"), "verdict").agg(F.sum("count").alias("occurrences"), F.min("example").alias("example"))
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (p1_found, p1_records, p4_found, p4_records, p7_percentiles, p7_builds, p8_packed, p9_found, p9_items)}
+    return {f.__name__: f for f in (p1_found, p1_records, p4_found, p4_records, p7_percentiles, p7_builds, p8_packed, p9_found, p9_items, p10_found, p10_templates)}
 
 
 _LEAKS = """

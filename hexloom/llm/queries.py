@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..functions import text
 from ..plans import sql
 from ..session import table
-from . import leakage, packing, quantiles, residue, survivorship, variants
+from . import leakage, linkage, packing, quantiles, residue, survivorship, variants
 
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 CAPACITY = 2048
@@ -57,6 +57,15 @@ def p4_records(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def p5_matches(spark: SparkSession, sf: str) -> DataFrame:
+    """Each row of the register with its object on the map and the confidence."""
+    return linkage.match(table(spark, sf, "jedeschule"), table(spark, sf, "pois").where("category = 'school'"))
+
+
+def p5_found(spark: SparkSession, sf: str) -> DataFrame:
+    return p5_matches(spark, sf).select("row_id", "osm_id")
+
+
 def _present(spark: SparkSession, sf: str) -> DataFrame:
     """scores with values that can't be as NULL."""
     ok = {
@@ -104,7 +113,7 @@ def p10_templates(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (p1_found, p1_records, p4_found, p4_records, p7_percentiles, p7_builds, p8_packed, p9_found, p9_items, p10_found, p10_templates)}
+    return {f.__name__: f for f in (p1_found, p1_records, p4_found, p4_records, p5_found, p5_matches, p7_percentiles, p7_builds, p8_packed, p9_found, p9_items, p10_found, p10_templates)}
 
 
 _LEAKS = """

@@ -157,7 +157,7 @@ def edge_score(left: list, right: list, left_kind: str | None, right_kinds: set[
         if part < 0.5:
             return 0.0, shared
         return part * (1.0 if same else 0.85) * (0.7 + 0.3 * near), shared + 2 * near + (2 if same else 0)
-    return (0.5 if same else 0.3) * near, 2 * near + (2 if same else 0)
+    return (0.5 if same else 0.43) * near, 2 * near + (2 if same else 0)
 
 
 def _kind_of(column: Column, table: dict[str, str], prefix: bool) -> Column:

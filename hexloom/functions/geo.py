@@ -30,8 +30,9 @@ def _atanh(x: Column) -> Column:
 
 
 def with_utm32(df: DataFrame, lat: str, lon: str, x: str = "x", y: str = "y") -> DataFrame:
-    """Add easting and northing in zone 32. Steps are columns of their own, so that no
-    step is computed, or compiled, more than once."""
+    """Add easting and northing in zone 32; NaN for NULL, so that joins on what follows
+    from them add no filter (see :func:`with_morton`). Steps are columns of their own, so
+    that no step is computed, or compiled, more than once."""
     s = F.sin(F.radians(F.col(lat)))
     df = df.withColumns({"_t": F.sinh(_atanh(s) - F.lit(ECC) * _atanh(F.lit(ECC) * s)), "_l": F.radians(F.col(lon) - F.lit(LON0))})
     df = df.withColumns({"_xi": F.atan2("_t", F.cos("_l")), "_eta": _atanh(F.sin("_l") / F.sqrt(1 + F.col("_t") * F.col("_t")))})
@@ -40,7 +41,8 @@ def with_utm32(df: DataFrame, lat: str, lon: str, x: str = "x", y: str = "y") ->
     for j, a in enumerate(ALPHA, 1):
         east = east + F.lit(a) * F.cos(2 * j * xi) * F.sinh(2 * j * eta)
         north = north + F.lit(a) * F.sin(2 * j * xi) * F.cosh(2 * j * eta)
-    return df.withColumns({x: F.lit(FALSE_E) + F.lit(K0 * RECT) * east, y: F.lit(K0 * RECT) * north}).drop("_t", "_l", "_xi", "_eta")
+    nan = F.lit(float("nan"))
+    return df.withColumns({x: F.coalesce(F.lit(FALSE_E) + F.lit(K0 * RECT) * east, nan), y: F.coalesce(F.lit(K0 * RECT) * north, nan)}).drop("_t", "_l", "_xi", "_eta")
 
 
 def utm32_inverse(x: Column, y: Column) -> tuple[Column, Column]:

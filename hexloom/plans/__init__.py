@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-FLAGSHIP = "p2_found"
+FLAGSHIP = "ent_density"
 
 
 def modules() -> list:
-    from . import preparation
+    from . import layers, preparation
 
-    return [preparation]
+    return [preparation, layers]

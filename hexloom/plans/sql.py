@@ -35,8 +35,8 @@ def utm32_cells(source: str, lat: str, lon: str, edge: float, keep: str) -> str:
     qr = "abs(qi - qf) > abs(ri - rf) AND abs(qi - qf) > abs(si - sf)"
     return f"""
       SELECT {keep}, x, y,
-        CAST(CASE WHEN {qr} THEN -ri - si ELSE qi END AS BIGINT) AS q,
-        CAST(CASE WHEN NOT ({qr}) AND abs(ri - rf) > abs(si - sf) THEN -qi - si ELSE ri END AS BIGINT) AS r
+        TRY_CAST(CASE WHEN {qr} THEN -ri - si ELSE qi END AS BIGINT) AS q,
+        TRY_CAST(CASE WHEN NOT ({qr}) AND abs(ri - rf) > abs(si - sf) THEN -qi - si ELSE ri END AS BIGINT) AS r
       FROM (SELECT *, round_even(qf, 0) AS qi, round_even(rf, 0) AS ri, round_even(sf, 0) AS si FROM (
         SELECT *, (x * {e(geo.SQRT3 / 3)} - y / 3) / {e(edge)} AS qf, y * {e(2 / 3)} / {e(edge)} AS rf,
           -((x * {e(geo.SQRT3 / 3)} - y / 3) / {e(edge)}) - y * {e(2 / 3)} / {e(edge)} AS sf FROM (

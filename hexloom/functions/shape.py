@@ -10,7 +10,8 @@ HORIZON_MIN = 120.0
 
 
 def clip01(x: Column) -> Column:
-    return F.greatest(F.lit(0.0), F.least(F.lit(1.0), x))
+    """Between 0 and 1; NULL stays NULL, which ``greatest`` and ``least`` would skip."""
+    return F.when(x.isNotNull(), F.greatest(F.lit(0.0), F.least(F.lit(1.0), x)))
 
 
 def anchor_norm(x: Column, worst: float, best: float) -> Column:
@@ -48,7 +49,7 @@ POINT_T0, POINT_SIGMA, POINT_POWER, POINT_BASE, POINT_MORE = 5.0, 25.4, 1.385, 0
 
 def point_decay(minutes: Column) -> Column:
     late = F.greatest(F.lit(0.0), minutes - F.lit(POINT_T0)) / F.lit(POINT_SIGMA)
-    return F.exp(-F.pow(late, F.lit(POINT_POWER)))
+    return F.when(minutes.isNotNull(), F.exp(-F.pow(late, F.lit(POINT_POWER))))
 
 
 def point_reach(nearest_min: Column, total: Column) -> Column:

@@ -6,6 +6,6 @@ FLAGSHIP = "ent_density"
 
 
 def modules() -> list:
-    from . import layers, preparation
+    from . import layers, preparation, scoring
 
-    return [preparation, layers]
+    return [preparation, layers, scoring]

@@ -136,21 +136,30 @@ OVERHEAD = {"foot": 0.0, "bike": 2.5, "car": 6.0}
 SWITCH_SAVES = 3.0
 
 
-def mode_minutes(foot_min: Column, mode: str) -> Column:
-    """The time by another mode, from the time on foot."""
-    return foot_min * F.lit(SPEED["foot"] / SPEED[mode]) + F.lit(OVERHEAD[mode])
+#: How much longer a mode that one merely can use seems; our choice within the known bounds.
+CAN_PENALTY = 1.25
 
 
-def best_mode(foot_min: Column, modes: list[str]) -> Column:
-    """Struct (minutes, mode): another mode than foot only if it saves 3 minutes or more."""
-    others = [F.struct(mode_minutes(foot_min, m).alias("minutes"), F.lit(m).alias("mode")) for m in modes if m != "foot"]
-    foot = F.struct(foot_min.alias("minutes"), F.lit("foot").alias("mode"))
+def mode_minutes(minutes: Column, ref: str, mode: str) -> Column:
+    """The time by one mode, from the moving time by another."""
+    return minutes * F.lit(SPEED[ref] / SPEED[mode]) + F.lit(OVERHEAD[mode])
+
+
+def best_mode(minutes: Column, ref: str, modes: list[str], can: frozenset[str] = frozenset()) -> Column:
+    """Struct (minutes, mode): on foot, unless another mode saves 3 minutes or more.
+
+    Modes in ``can`` are compared, but not reported, at a penalty.
+    """
+    foot = F.struct(mode_minutes(minutes, ref, "foot").alias("seems"), mode_minutes(minutes, ref, "foot").alias("minutes"), F.lit("foot").alias("mode"))
+    others = []
+    for m in modes:
+        if m != "foot":
+            t = mode_minutes(minutes, ref, m)
+            others.append(F.struct((t * (CAN_PENALTY if m in can else 1.0)).alias("seems"), t.alias("minutes"), F.lit(m).alias("mode")))
     if not others:
         return foot
     best = F.least(*others) if len(others) > 1 else others[0]
-    if "foot" not in modes:
-        return best
-    return F.when(foot_min - best["minutes"] >= SWITCH_SAVES, best).otherwise(foot)
+    return F.when(foot["minutes"] - best["seems"] >= SWITCH_SAVES, best).otherwise(foot)
 
 
 def weighted_geometric(scores: list[tuple[Column, float]], least: float = 0.01) -> Column:

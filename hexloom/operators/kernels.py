@@ -125,7 +125,8 @@ def children(cells: DataFrame, edge_m: float = EDGE_M) -> DataFrame:
     x, y = geo.hex_centre(q, r, edge_m)
     step = edge_m * geo.SQRT3 / math.sqrt(7)
     turns = [math.radians(19.1066 + 60 * i) for i in range(6)]
-    places = F.array(F.struct(F.lit(0).alias("child"), x.alias("x"), y.alias("y")), *[F.struct(F.lit(i + 1), x + step * math.cos(t), y + step * math.sin(t)) for i, t in enumerate(turns)])
+    moves = [(0.0, 0.0), *[(step * math.cos(t), step * math.sin(t)) for t in turns]]
+    places = F.array(*[F.struct(F.lit(i).alias("child"), (x + dx).alias("x"), (y + dy).alias("y")) for i, (dx, dy) in enumerate(moves)])
     return cells.select("cell", F.inline(places))
 
 

@@ -37,7 +37,7 @@ def radius_join(left: DataFrame, right: DataFrame, radius_m: float, strict: bool
 def nearest(left: DataFrame, right: DataFrame, key: str, payload: list[str], start_m: float, most_m: float, tie: str, kind: str | None = None) -> DataFrame:
     """The nearest right row of each left row: key, [kind], ``dist`` and the payload.
 
-    The radius doubles from ``start_m`` until every left row (of every kind) has a match
+    The radius grows fourfold from ``start_m`` until every left row (of every kind) has a match
     or ``most_m`` is reached; a match at distance d is final once d is within the radius,
     so each round only joins those that have none yet. Ties go to the smallest ``tie``.
     Left rows with nothing within ``most_m`` are not in the result. With ``kind``, a column
@@ -51,13 +51,13 @@ def nearest(left: DataFrame, right: DataFrame, key: str, payload: list[str], sta
     done, radius = None, start_m
     while True:
         # tiles of the right side first: only those that may hold the nearest row are opened
-        tile = radius / 8
+        tile = radius / 12
         half = tile * 0.7072
         tiled = right.withColumns({"_tx": F.floor(F.col("x") / tile), "_ty": F.floor(F.col("y") / tile)})
         tiles = tiled.select(F.col("_kind").alias("_k2"), "_tx", "_ty").distinct().withColumns({"x": (F.col("_tx") + 0.5) * tile, "y": (F.col("_ty") + 0.5) * tile})
-        near = radius_join(todo, tiles, radius + half).where(F.col("_kind") == F.col("_k2"))
+        near = radius_join(tiles, todo, radius + half).where(F.col("_kind") == F.col("_k2"))
         near = near.withColumn("_least", F.min("dist").over(Window.partitionBy(*by))).where(F.col("dist") <= F.col("_least") + 2 * half)
-        pairs = near.select(*by, F.col("x").alias("lx"), F.col("y").alias("ly"), "_tx", "_ty").join(tiled, ["_kind", "_tx", "_ty"])
+        pairs = near.select(*by, F.col("rx").alias("lx"), F.col("ry").alias("ly"), "_tx", "_ty").join(tiled, ["_kind", "_tx", "_ty"])
         pairs = pairs.withColumn("dist", _dist("lx", "ly", "x", "y")).where(F.col("dist") <= radius)
         best = pairs.groupBy(*by).agg(F.min(F.struct("dist", *[f"p_{n}" for n in names])).alias("b"))
         found = materialise(best.select(*by, "b.*"))
@@ -67,7 +67,7 @@ def nearest(left: DataFrame, right: DataFrame, key: str, payload: list[str], sta
         todo = materialise(todo.join(found, by, "left_anti"))
         if todo.isEmpty():
             break
-        radius = min(radius * 2, most_m)
+        radius = min(radius * 4, most_m)
     return done.select(key, *([F.col("_kind").alias(kind)] if kind else []), "dist", *[F.col(f"p_{n}").alias(n) for n in names])
 
 

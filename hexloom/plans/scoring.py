@@ -216,7 +216,7 @@ def assemble_scores(spark: SparkSession, sf: str) -> DataFrame:
     built = F.coalesce(1 - F.col("s_green"), F.lit(0.0))
     return a.select(
         "cell",
-        F.round(comp.greenness(F.col("s_green") * 0.6, F.col("s_green") * 0.3, F.lit(0.1), F.col("s_quiet") * 0.05, F.col("s_quiet") * 0.1, (F.col("cell") % 10) / 20.0, (F.col("cell") % 3) / 3.0, built * 0.5), 6).alias("green"),
+        F.round(comp.greenness(F.col("s_green") * 0.61371307, F.col("s_green") * 0.29317741, F.lit(0.103717), F.col("s_quiet") * 0.05, F.col("s_quiet") * 0.1, (F.col("cell") % 10) / 20.03, (F.col("cell") % 3) / 3.0, built * 0.5), 6).alias("green"),
         F.round(comp.care_crowding(F.col("kita"), F.col("population")), 6).alias("kita_crowd"),
         F.round(comp.character(F.col("places") * 0.5, F.col("places") * 0.2, F.col("s_quiet"), built, F.col("population") * 2), 6).alias("character"),
         F.round(F.coalesce(comp.vacancy(F.col("vacancy_pct")), F.lit(1.0)), 6).alias("vacancy"),
@@ -261,7 +261,7 @@ def score_cdf(spark: SparkSession, sf: str) -> DataFrame:
 def access_modes(spark: SparkSession, sf: str) -> DataFrame:
     """The mode to the nearest centre and its proximity, from the time on foot."""
     foot = _reach(spark, sf).where("mode = 'walk'").groupBy("cell").agg(F.min("minutes").alias("foot"))
-    b = shape.best_mode(F.col("foot"), ["foot", "bike", "car"])
+    b = shape.best_mode(F.col("foot"), "foot", ["bike", "car"])
     return foot.select("cell", F.round(b["minutes"], 4).alias("minutes"), b["mode"].alias("mode"), F.round(shape.proximity(b["minutes"], F.lit(15.0), 2.0), 6).alias("near"))
 
 

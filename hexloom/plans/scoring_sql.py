@@ -139,8 +139,8 @@ def _composite() -> str:
 
 
 def _assemble() -> str:
-    water, way = "(cell % 10 / 20e0)", "(cell % 3 / 3e0)"
-    veg = f"(sg * 6e-1 + 5e-1 * (sg * 3e-1) + 25e-2 * 1e-1 + sq * 5e-2 + least(4e-2, 5e-1 * (sq * 1e-1)))"
+    water, way = "(cell % 10 / 2003e-2)", "(cell % 3 / 3e0)"
+    veg = f"(sg * 61371307e-8 + 5e-1 * (sg * 29317741e-8) + 25e-2 * 103717e-6 + sq * 5e-2 + least(4e-2, 5e-1 * (sq * 1e-1)))"
     gl = clip(f"{veg} / ((1 - {water}) * 85e-2)")
     wa = clip(f"({water} + 15e-2 * {way}) / 3e-1")
     d = "coalesce(places * 5e-1, 0e0)"

@@ -34,20 +34,21 @@ def radius_join(left: DataFrame, right: DataFrame, radius_m: float, strict: bool
     return pairs.where(F.col("dist") < radius_m if strict else F.col("dist") <= radius_m)
 
 
-def nearest(left: DataFrame, right: DataFrame, key: str, payload: list[str], start_m: float, most_m: float, tie: str, kind: str | None = None) -> DataFrame:
+def nearest(left: DataFrame, right: DataFrame, key: str, payload: list[str], start_m: float, most_m: float, tie: str, kind: str | None = None, kinds: list[str] = ()) -> DataFrame:
     """The nearest right row of each left row: key, [kind], ``dist`` and the payload.
 
     The radius grows fourfold from ``start_m`` until every left row (of every kind) has a match
     or ``most_m`` is reached; a match at distance d is final once d is within the radius,
     so each round only joins those that have none yet. Ties go to the smallest ``tie``.
     Left rows with nothing within ``most_m`` are not in the result. With ``kind``, a column
-    of the right side, the nearest of each kind is found in the same passes.
+    of the right side, the nearest of each of ``kinds`` is found in the same passes.
     """
     by = [key, "_kind"]
     k = F.col(kind).cast("string") if kind else F.lit("")
     names = list(dict.fromkeys([tie, *payload]))
     right = right.select("x", "y", k.alias("_kind"), *[F.col(n).alias(f"p_{n}") for n in names])
-    todo = left.select(key, "x", "y").crossJoin(F.broadcast(right.select("_kind").distinct()))  # the kinds are few by design
+    wanted = F.explode(F.array(*[F.lit(x) for x in (kinds if kind else [""])]))
+    todo = left.select(key, "x", "y", wanted.alias("_kind"))
     done, radius = None, start_m
     while True:
         # tiles of the right side first: only those that may hold the nearest row are opened

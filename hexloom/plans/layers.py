@@ -116,7 +116,7 @@ def nearest_facility(spark: SparkSession, sf: str) -> DataFrame:
     kinds = ["pharmacy", "kindergarten", "supermarket"]
     places = inp.pois_xy(spark, sf).where(F.col("subcategory").isin(*kinds)).select("x", "y", F.col("subcategory").alias("kind"), "osm_id")
     rim = kn.rim_points(inp.grid(spark, sf)).withColumn("pid", F.col("cell") * 8 + F.col("rim"))
-    near = spatial.nearest(rim.select("pid", "x", "y"), places, "pid", [], 8000.0, 2_048_000.0, "osm_id", kind="kind")
+    near = spatial.nearest(rim.select("pid", "x", "y"), places, "pid", [], 8000.0, 2_048_000.0, "osm_id", kind="kind", kinds=kinds)
     cell = F.shiftright("pid", 3).alias("cell")
     mean = near.groupBy(cell, "kind").agg(F.avg("dist").alias("m"))
     per = lambda kmh: F.col("m") * F.lit(60 * 1.3 / (kmh * 1000))

@@ -33,7 +33,7 @@ def test_nearest(pts):
     a, b, left, right = pts
     got = {r.k: (r.id, round(r.dist, 6)) for r in spatial.nearest(left, right, "k", ["kind"], 50.0, 100_000.0, "id").collect()}
     assert got == {p[0]: min((round(d(p, q), 6), q[0]) for q in b)[::-1] for p in a}
-    kinds = {(r.k, r.kind): r.id for r in spatial.nearest(left, right, "k", [], 50.0, 100_000.0, "id", kind="kind").collect()}
+    kinds = {(r.k, r.kind): r.id for r in spatial.nearest(left, right, "k", [], 50.0, 100_000.0, "id", kind="kind", kinds=["u", "v"]).collect()}
     assert kinds == {(p[0], k): min((d(p, q), q[0]) for q in b if q[3] == k)[1] for p in a for k in "uv"}
     near = spatial.nearest(left, right, "k", [], 100.0, 400.0, "id").collect()
     assert {r.k for r in near} == {p[0] for p in a if min(d(p, q) for q in b) <= 400}

@@ -141,3 +141,13 @@ def densify(points: DataFrame, line: str, seq: str, step_m: float) -> DataFrame:
     s = seg.where((F.col("length") > 0) & (last >= first)).withColumn("n", n)
     part = (F.col("n") * step - F.col("before")) / F.col("length")
     return s.select(line, "n", (F.col("x") + part * (F.col("x2") - F.col("x"))).alias("x"), (F.col("y") + part * (F.col("y2") - F.col("y"))).alias("y"))
+
+
+def feather(points: DataFrame, columns: list[str], sigma_m: float, radius_m: float, key: str) -> DataFrame:
+    """Gaussian mean by true distance over all points within the radius, of many columns at
+    once; a point's own weight is 1. Missing values count in neither sum."""
+    own = points.select(F.col(key), "x", "y")
+    other = points.select("x", "y", *columns)
+    w = F.exp(-F.col("dist") * F.col("dist") / F.lit(2 * sigma_m**2))
+    aggs = [(F.sum(F.col(c) * w) / F.nullif(F.sum(F.when(F.col(c).isNotNull(), w)), F.lit(0.0))).alias(c) for c in columns]
+    return radius_join(own, other, radius_m).groupBy(key).agg(*aggs)

@@ -6,6 +6,6 @@ FLAGSHIP = "ent_density"
 
 
 def modules() -> list:
-    from . import layers, preparation, scoring
+    from . import layers, preparation, scoring, surfaces
 
-    return [preparation, layers, scoring]
+    return [preparation, layers, scoring, surfaces]

@@ -9,6 +9,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _own_dirs: list[str] = []
+_written: list[str] = []
 
 
 def local_session(cores: str = "*", shuffle_partitions: int = 8, **conf: str) -> SparkSession:
@@ -55,6 +56,22 @@ def _remove_own() -> None:
         shutil.rmtree(path, ignore_errors=True)
 
 
+def _remove_written(spark: SparkSession) -> None:
+    """Delete the tables of :func:`materialise` when the driver ends, as far as it still can."""
+    import shutil
+
+    for path in _written:
+        try:
+            if path.startswith("file:") or ":" not in path:
+                shutil.rmtree(path.removeprefix("file://").removeprefix("file:"), ignore_errors=True)
+            else:
+                jvm = spark.sparkContext._jvm
+                at = jvm.org.apache.hadoop.fs.Path(path)
+                at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+        except Exception:  # the session may be gone; the folder is the cluster's to clean then
+            return
+
+
 def materialise(df: DataFrame, partition_by: list[str] | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
@@ -66,5 +83,8 @@ def materialise(df: DataFrame, partition_by: list[str] | None = None) -> DataFra
     writer = df.write.option("compression", "zstd")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
+    if not _written:
+        atexit.register(_remove_written, spark)
+    _written.append(path)
     writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -127,13 +127,13 @@ def _slots(patterns: list[tuple[int, list[int]]]) -> dict[str, np.ndarray]:
     return {"key": table[:, 0], "start": table[:, 1], "base": table[:, 2], "n": table[:, 3]}
 
 
-def pack(lengths: DataFrame, capacity: int, key: str, length: str, spread: int = 256) -> DataFrame:
+def pack(lengths: DataFrame, capacity: int, key: str, length: str, hot: int = 1_000_000, spread: int = 256) -> DataFrame:
     """Assign each item to a container: key, ``part``, ``start``, ``size``, ``container``.
 
     An item over ``capacity`` is cut into full containers and a rest, which is packed as
     any other; nothing else is split. Items of length 0 (or NULL) take no space and go to
-    container 0. Keys must be unique. Equal lengths, however many, are ranked in ``spread``
-    hash buckets whose sizes are added up first, so no task sorts a whole length.
+    container 0. Keys must be unique. A length with more than ``hot`` items is ranked in
+    ``spread`` hash buckets whose sizes are added up first, so no task sorts all of it.
     """
     if not 0 < capacity <= MAX_CAPACITY:
         raise ValueError(f"capacity must be from 1 to {MAX_CAPACITY}")
@@ -141,14 +141,22 @@ def pack(lengths: DataFrame, capacity: int, key: str, length: str, spread: int =
     pieces = F.greatest(F.ceil(n / capacity).cast("long"), F.lit(1))
     items = lengths.select(F.col(key), n.alias("_n"), F.explode(F.sequence(F.lit(0).cast("long"), pieces - 1)).alias("part"))
     items = items.select(key, "part", (F.col("part") * capacity).alias("start"), F.least(F.col("_n") - F.col("part") * capacity, F.lit(capacity)).alias("size"))
-    items = materialise(items.withColumn("_b", F.pmod(F.xxhash64(key, "part"), F.lit(spread)).cast("int")))
-    sizes = items.where("size > 0").groupBy("size", "_b").agg(F.count(F.lit(1)).alias("_c"))
-    before = Window.partitionBy("size").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = materialise(sizes.withColumn("_off", F.coalesce(F.sum("_c").over(before), F.lit(0))))
-    histogram = {r["size"]: r["c"] for r in offsets.groupBy("size").agg(F.sum("_c").alias("c")).collect()}
+    items = materialise(items)
+    histogram = {r["size"]: r["c"] for r in items.where("size > 0").groupBy("size").agg(F.count(F.lit(1)).alias("c")).collect()}  # at most ``capacity`` rows
     slots = _slots(pack_histogram(histogram, capacity))
-    in_bucket = Window.partitionBy("size", "_b").orderBy(key, "part")
-    ranked = items.where("size > 0").join(offsets.select("size", "_b", "_off"), ["size", "_b"]).withColumn("_rank", F.col("_off") + F.row_number().over(in_bucket) - 1)
+    many = [size for size, c in histogram.items() if c > hot]
+    full = items.where("size > 0")
+    by = Window.partitionBy("size").orderBy(key, "part")
+    ranked = full.where(~F.col("size").isin(many)) if many else full
+    ranked = ranked.withColumn("_rank", (F.row_number().over(by) - 1).cast("long"))
+    if many:
+        split = full.where(F.col("size").isin(many)).withColumn("_b", F.pmod(F.xxhash64(key, "part"), F.lit(spread)).cast("int"))
+        sizes = split.groupBy("size", "_b").agg(F.count(F.lit(1)).alias("_c"))
+        before = Window.partitionBy("size").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+        offsets = sizes.select("size", "_b", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_off"))
+        in_bucket = Window.partitionBy("size", "_b").orderBy(key, "part")
+        split = split.join(offsets, ["size", "_b"]).withColumn("_rank", F.col("_off") + F.row_number().over(in_bucket) - 1)
+        ranked = ranked.unionByName(split.select(*ranked.columns))
     kind = lengths.schema[key].dataType.simpleString()
 
     def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

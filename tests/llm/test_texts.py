@@ -128,11 +128,12 @@ def test_histogram_packing():
         packing.pack_histogram({11: 1}, 10)
 
 
-def test_pack(spark):
+@pytest.mark.parametrize("hot", [10**6, 200])
+def test_pack(spark, hot):
     rnd = random.Random(3)
     rows = [(i, rnd.choice([7, 7, 7, rnd.randint(1, 60), 250, None, 0])) for i in range(3000)]
     df = spark.createDataFrame(rows, "doc_id long, n int").withColumns({"size": F.lit(1), "part": F.lit(2), "container": F.lit("clash")})
-    got = packing.pack(df, 100, "doc_id", "n").toPandas()
+    got = packing.pack(df, 100, "doc_id", "n", hot=hot, spread=7).toPandas()
     total = got.groupby("container")["size"].sum()
     assert total.max() <= 100 and total.sum() == sum(n or 0 for _, n in rows)
     assert total.sum() / (len(total) * 100) > 0.98

@@ -150,7 +150,7 @@ class RelativeSketch:
         return out
 
 
-def sketches(df: DataFrame, keys: list[str], fields: list[str], k: int = 32, high: bool = True, held: int = 20_000) -> DataFrame:
+def sketches(df: DataFrame, keys: list[str], fields: list[str], k: int = 32, high: bool = True, held: int = 10_000) -> DataFrame:
     """One sketch for each combination of ``keys`` and field: keys, ``fld``, ``sketch``.
 
     NULL and NaN values are not counted; a NULL key is a key like any other; a group

@@ -143,10 +143,10 @@ def _assemble() -> str:
     veg = f"(sg * 61371307e-8 + 5e-1 * (sg * 29317741e-8) + 25e-2 * 103717e-6 + sq * 5e-2 + least(4e-2, 5e-1 * (sq * 1e-1)))"
     gl = clip(f"{veg} / ((1 - {water}) * 85e-2)")
     wa = clip(f"({water} + 15e-2 * {way}) / 3e-1")
-    d = "coalesce(places * 5e-1, 0e0)"
+    d = "coalesce(places * 50371e-5, 0e0)"
     people = "greatest(coalesce(population * 2, 0e0), 1000e0)"
     hist = f"sqrt(pow({d}, 2) / (pow({d}, 2) + 484e0) * {clip(f'1000 * {d} / {people} / 4')})"
-    art = "(pow(coalesce(places * 2e-1, 0e0), 2) / (pow(coalesce(places * 2e-1, 0e0), 2) + 784e0))"
+    art = "(pow(coalesce(places * 20317e-5, 0e0), 2) / (pow(coalesce(places * 20317e-5, 0e0), 2) + 784e0))"
     return f"""WITH {_composite()} SELECT cell, round({clip(f"(1 - (1 - {gl}) * (1 - 2e-1 * {wa})) * (1 - 135e-2 * pow(built * 5e-1, 3))")}, 6) AS green,
       round(1 - 2e-1 * coalesce({clip("1 - 1000 * kita / nullif(population, 0e0) / 75e-2")} * CASE WHEN kita / nullif(population, 0e0) IS NOT NULL THEN 1 END, 0e0), 6) AS kita_crowd,
       round(1 - (1 - {hist}) * (1 - 35e-2 * {art}) * (1 - 6e-1 * (sq * {clip("(built - 4e-2) / 16e-2")})), 6) AS character,

@@ -218,7 +218,7 @@ def assemble_scores(spark: SparkSession, sf: str) -> DataFrame:
         "cell",
         F.round(comp.greenness(F.col("s_green") * 0.61371307, F.col("s_green") * 0.29317741, F.lit(0.103717), F.col("s_quiet") * 0.05, F.col("s_quiet") * 0.1, (F.col("cell") % 10) / 20.03, (F.col("cell") % 3) / 3.0, built * 0.5), 6).alias("green"),
         F.round(comp.care_crowding(F.col("kita"), F.col("population")), 6).alias("kita_crowd"),
-        F.round(comp.character(F.col("places") * 0.50371, F.col("places") * 0.20317, F.col("s_quiet"), built, F.col("population") * 2), 6).alias("character"),
+        F.round(comp.character(F.col("places") * 0.50371, F.col("places") * 0.20317, F.col("s_quiet") * 0.99713, built, F.col("population") * 2), 6).alias("character"),
         F.round(F.coalesce(comp.vacancy(F.col("vacancy_pct")), F.lit(1.0)), 6).alias("vacancy"),
         F.coalesce(F.when(F.col("population").isNotNull(), F.col("population") >= 15), F.col("inhabited"), F.lit(False)).alias("inhabited"),
     )

@@ -149,7 +149,7 @@ def _assemble() -> str:
     art = "(pow(coalesce(places * 20317e-5, 0e0), 2) / (pow(coalesce(places * 20317e-5, 0e0), 2) + 784e0))"
     return f"""WITH {_composite()} SELECT cell, round({clip(f"(1 - (1 - {gl}) * (1 - 2e-1 * {wa})) * (1 - 135e-2 * pow(built * 5e-1, 3))")}, 6) AS green,
       round(1 - 2e-1 * coalesce({clip("1 - 1000 * kita / nullif(population, 0e0) / 75e-2")} * CASE WHEN kita / nullif(population, 0e0) IS NOT NULL THEN 1 END, 0e0), 6) AS kita_crowd,
-      round(1 - (1 - {hist}) * (1 - 35e-2 * {art}) * (1 - 6e-1 * (sq * {clip("(built - 4e-2) / 16e-2")})), 6) AS character,
+      round(1 - (1 - {hist}) * (1 - 35e-2 * {art}) * (1 - 6e-1 * (sq * 99713e-5 * {clip("(built - 4e-2) / 16e-2")})), 6) AS character,
       round(CASE WHEN vacancy_pct IS NULL THEN 1e0 ELSE {clip("1 - (vacancy_pct - 5) / 13")} END, 6) AS vacancy, coalesce(population >= 15, inhabited, false) AS inhabited FROM a"""
 
 

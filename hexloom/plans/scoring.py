@@ -278,8 +278,30 @@ def mode_pivot(spark: SparkSession, sf: str) -> DataFrame:
     return _reach(spark, sf).groupBy("center").pivot("mode", list(SPEEDS)).agg(F.count(F.lit(1))).na.fill(0)
 
 
+def tau_sweep(spark: SparkSession, sf: str) -> DataFrame:
+    """How the decay constant changes going out by car: one row a constant."""
+    near = _reach(spark, sf).where("mode = 'car' and minutes < 60").join(inp.centres(spark, sf).select("center", (F.col("weight") / 100).alias("mass")), "center")
+    taus = F.explode(F.array(*[F.lit(float(t)) for t in (10, 15, 20, 30)]))
+    by = near.select("cell", "minutes", "mass", taus.alias("tau")).groupBy("tau", "cell").agg(F.sum(F.col("mass") * F.exp(-F.col("minutes") / F.col("tau"))).alias("raw"))
+    return by.groupBy("tau").agg(F.count(F.lit(1)).alias("cells"), F.round(F.avg("raw"), 6).alias("mean"), F.round(F.percentile("raw", 0.95), 6).alias("p95"))
+
+
+#: The palette of noise tiles, red, green, blue and the level in dB.
+PALETTE = ((255, 255, 127, 57.5), (255, 191, 0, 62.5), (255, 64, 64, 67.5), (128, 0, 128, 72.5), (0, 0, 255, 77.5))
+
+
+def palette_levels(spark: SparkSession, sf: str) -> DataFrame:
+    """Levels of coloured pixels by the nearest colour of the palette, by cell the loudest."""
+    k = F.col("p_partkey")
+    lon, lat = inp.key_point("p_partkey")
+    px = table(spark, sf, "part").select(lon.alias("lon"), lat.alias("lat"), (k * 37 % 256).alias("r"), (k * 91 % 256).alias("g"), (k * 53 % 256).alias("b"))
+    far = lambda p: F.pow(F.col("r") - p[0], 2) + F.pow(F.col("g") - p[1], 2) + F.pow(F.col("b") - p[2], 2)
+    best = F.least(*[F.struct(far(p).alias("d"), F.lit(p[3]).alias("db")) for p in PALETTE])["db"]
+    return geo.with_cell(px.select("lat", "lon", best.alias("db")), "lat", "lon", inp.EDGE_M).groupBy("cell").agg(F.max("db").alias("db"))
+
+
 FUNCTIONS = (
-    direct_reach, door_to_door, gravity_reach, point_reach, mbo_field, city_weighted_percentile, weighted_median_rent, kreis_noisy_or, sector_lq, allocated_mass, flood_eas,
+    tau_sweep, palette_levels, direct_reach, door_to_door, gravity_reach, point_reach, mbo_field, city_weighted_percentile, weighted_median_rent, kreis_noisy_or, sector_lq, allocated_mass, flood_eas,
     vacancy_score, climate_score, quantise_roundtrip, geocode_cascade, classify_rules, school_tracks, twin_recovery, assemble_scores, nature_layer, composite_rank, score_cdf,
     access_modes, content_changed, mode_pivot,
 )

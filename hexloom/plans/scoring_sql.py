@@ -6,7 +6,7 @@ from ..functions import composites as comp, geo, rules, shape, text
 from ..operators import kernels as kn
 from . import inputs as inp, sql
 from .layers import _W, _W0
-from .scoring import CELL_AREA, SPEEDS
+from .scoring import CELL_AREA, PALETTE, SPEEDS
 
 e = sql.e
 
@@ -216,5 +216,10 @@ def oracle_sql() -> dict[str, str]:
         "access_modes": _ACCESS,
         "content_changed": """WITH a AS (SELECT cell, inhabited FROM scores WHERE run_no = 0), b AS (SELECT cell, inhabited FROM scores WHERE run_no = 1)
           SELECT 'gone' AS side, inhabited, count(*) AS n FROM (SELECT * FROM a EXCEPT ALL SELECT * FROM b) GROUP BY inhabited UNION ALL SELECT 'new', inhabited, count(*) FROM (SELECT * FROM b EXCEPT ALL SELECT * FROM a) GROUP BY inhabited""",
+        "tau_sweep": f"""WITH {REACH}, n AS (SELECT re.cell, minutes, weight / 100 AS mass, unnest([10e0, 15e0, 20e0, 30e0]) AS tau FROM re JOIN z USING (center) WHERE mode = 'car' AND minutes < 60), b AS (SELECT tau, cell, sum(mass * exp(-minutes / tau)) AS raw FROM n GROUP BY tau, cell)
+          SELECT tau, count(*) AS cells, round(avg(raw), 6) AS mean, round(quantile_cont(raw, 0.95), 6) AS p95 FROM b GROUP BY tau""",
+        "palette_levels": f"""WITH p AS ({sql.utm32_cells(inp.key_source("part", "p_partkey", "p_partkey AS k"), "lat", "lon", inp.EDGE_M, "k")}),
+          d AS (SELECT k, q, r, (pow(k * 37 % 256 - pr, 2) + pow(k * 91 % 256 - pg, 2) + pow(k * 53 % 256 - pb, 2)) AS d, db FROM p, (VALUES {", ".join(f"({a}, {b}, {c}, {e(db)})" for a, b, c, db in PALETTE)}) AS v(pr, pg, pb, db)),
+          m AS (SELECT k, any_value(q) AS q, any_value(r) AS r, arg_min(db, (d, db)) AS db FROM d GROUP BY k) SELECT (q + 1048576) * 2097152 + r + 1048576 AS cell, max(db) AS db FROM m GROUP BY 1""",
         "mode_pivot": f"WITH {REACH} SELECT center, " + ", ".join(f"count(*) FILTER (mode = '{m}') AS {m}" for m in SPEEDS) + " FROM re GROUP BY center",
     }

@@ -270,6 +270,15 @@ def _spread() -> str:
       FROM grid LEFT JOIN m USING (cell) LEFT JOIN c USING (cell) LEFT JOIN s USING (cell)"""
 
 
+def _repair() -> str:
+    steps = []
+    for i in range(3):
+        steps.append(f"n{i} AS (SELECT cell, count(v) AS n, avg(v) AS mean, quantile_cont(v, 0.5) AS mid FROM {inp.disk(f'(SELECT * FROM s{i} WHERE v IS NOT NULL)', 1, 'v')} WHERE ring = 1 GROUP BY cell)")
+        odd = "v <= 1e-1 AND n >= 4 AND mid >= 5e-1 AND mid - v >= 4e-1"
+        steps.append(f"s{i + 1} AS (SELECT s{i}.cell, may, CASE WHEN may AND v IS NULL AND n >= 2 THEN mean WHEN may AND {odd} THEN mid ELSE v END AS v FROM s{i} LEFT JOIN n{i} USING (cell))")
+    return f"""WITH {inp.CELLS}, s0 AS (SELECT cell, coalesce(inhabited, false) AS may, CASE WHEN vacancy_pct IS NOT NULL THEN s_quiet END AS v FROM c), {", ".join(steps)} SELECT cell, round(v, 6) AS v FROM s3"""
+
+
 def _service() -> str:
     stops = inp.key_source("(SELECT DISTINCT user_id AS stop_id FROM events)", "stop_id", "stop_id")
     return f"""WITH st AS (SELECT stop_id, (q + 1048576) * 2097152 + r + 1048576 AS cell FROM ({sql.utm32_cells(stops, "lat", "lon", inp.EDGE_M, "stop_id")})),
@@ -357,6 +366,7 @@ def oracle_sql() -> dict[str, str]:
         "kernel_shrink_rent": _shrink(),
         "disk_mean_spread": _spread(),
         "dilated_water": f"WITH {inp.POIS}, w AS (SELECT DISTINCT cell FROM p WHERE subcategory = 'swimming_pool') SELECT DISTINCT cell FROM {inp.disk('w', 1, 'src')}".replace("src_cell, src", "src_cell"),
+        "repair_rounds": _repair(),
         "service_quality": _service(),
         "point_cells": f"WITH {inp.POIS} SELECT cell, category, count(*) AS n FROM p GROUP BY cell, category",
         "nearest_facility": _facility(),

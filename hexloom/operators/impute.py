@@ -31,7 +31,7 @@ class Numeric:
     open_high: bool = False
 
     def present(self) -> Column:
-        c = F.col(self.name).cast("double")
+        c = F.col(self.name).try_cast("double")
         low = c > self.low if self.open_low else c >= self.low
         high = c < self.high if self.open_high else c <= self.high
         return F.when(~F.isnan(c) & low & high, c)
@@ -86,7 +86,7 @@ def impute_numeric(df: DataFrame, key: str, groups: list[str | Column], fields:
         F.col(key).alias("k"),
         *gcols,
         *[f.present().alias(f"y{i}") for i, f in enumerate(fields)],
-        *[F.when(~F.isnan(F.col(p).cast("double")), F.col(p).cast("double")).alias(f"x{i}") for i, p in enumerate(predictors)],
+        *[F.when(~F.isnan(F.col(p).try_cast("double")), F.col(p).try_cast("double")).alias(f"x{i}") for i, p in enumerate(predictors)],
     )
     known = F.lit(True)
     for g in gs:
@@ -136,7 +136,7 @@ def impute_category(df: DataFrame, key: str, group: str | Column, field: Column,
     classes raise ``ValueError``, as the model's size is bounded by their number.
     """
     g = F.col(group) if isinstance(group, str) else group
-    xs = [F.when(~F.isnan(F.col(p).cast("double")), F.col(p).cast("double")).alias(f"x{i}") for i, p in enumerate(predictors)]
+    xs = [F.when(~F.isnan(F.col(p).try_cast("double")), F.col(p).try_cast("double")).alias(f"x{i}") for i, p in enumerate(predictors)]
     base = df.select(F.col(key).alias("k"), g.alias("g"), field.alias("c"), *xs)
     model = base.where(F.col("c").isNotNull()).groupBy("c").agg(F.count(F.lit(1)).alias("n"), *[F.avg(f"x{i}").alias(f"m{i}") for i in range(len(predictors))], *[F.stddev_pop(f"x{i}").alias(f"d{i}") for i in range(len(predictors))])
     classes = model.orderBy("c").limit(max_classes + 1).collect()

@@ -102,9 +102,9 @@ def kernel_shrink(src: DataFrame, value: str, weight: str, prior: str, k: int =
     """
     w = F.when((F.col(weight) > 0) & F.col(value).isNotNull(), F.col(weight) * gauss_weight(sigma_km, spread=False))
     sums = disk(src.select("cell", value, weight), k).groupBy("cell").agg(F.sum(w * F.col(value)).alias("_a"), F.sum(w).alias("_b"))
-    middle = src.agg(F.percentile(prior, 0.5).alias("_middle"))
-    out = src.select("cell", prior).join(sums, "cell", "left").crossJoin(F.broadcast(middle))  # one row
-    p = F.lit(strength) * F.coalesce(F.col(prior), F.col("_middle"))
+    middle = src.agg(F.percentile(prior, 0.5)).scalar()
+    out = src.select("cell", prior).join(sums, "cell", "left")
+    p = F.lit(strength) * F.coalesce(F.col(prior), middle)
     return out.select("cell", ((F.coalesce("_a", F.lit(0.0)) + p) / (F.coalesce("_b", F.lit(0.0)) + F.lit(strength))).alias(value))
 
 

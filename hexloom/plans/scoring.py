@@ -51,8 +51,8 @@ def gravity_reach(spark: SparkSession, sf: str) -> DataFrame:
     raw = rc.gravity(_reach(spark, sf).where("mode = 'car'"), cs.select("center", (F.col("weight") / 100).alias("mass")), 15.0, 60.0)
     native = cs.groupBy("cell").agg((F.sum("weight") / 500).alias("own"))
     both = raw.join(native, "cell", "left").select("cell", F.greatest("raw", F.coalesce("own", F.lit(0.0))).alias("raw"))
-    cap = stats.percentile_of_positive(both, "raw", 0.999)
-    return both.crossJoin(F.broadcast(cap)).select("cell", _r("raw"), F.round(shape.clip01(F.col("raw") / F.col("cap")), 6).alias("score"))  # one row
+    cap = stats.percentile_of_positive(both, "raw", 0.999).scalar()
+    return both.select("cell", _r("raw"), F.round(shape.clip01(F.col("raw") / cap), 6).alias("score"))
 
 
 def point_reach(spark: SparkSession, sf: str) -> DataFrame:

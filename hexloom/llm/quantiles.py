@@ -153,7 +153,7 @@ class RelativeSketch:
 def sketches(df: DataFrame, keys: list[str], fields: list[str], k: int = 32, high: bool = True, held: int = 10_000) -> DataFrame:
     """One sketch for each combination of ``keys`` and field: keys, ``fld``, ``sketch``.
 
-    NULL and NaN values are not counted; a NULL key is a key like any other; a group
+    NULL and NaN values, and texts that are no numbers, are not counted; a NULL key is a key like any other; a group
     without a present value has no row. Each task sketches its rows (at most ``held``
     sketches at a time), and only sketches are shuffled, so a group of any size is never
     together in one place. Extra columns are ignored.
@@ -188,7 +188,7 @@ def sketches(df: DataFrame, keys: list[str], fields: list[str], k: int = 32, hig
         if open_:
             yield flush(open_)
 
-    parts = df.select(*keys, *[F.col(f).cast("double").alias(f) for f in fields]).mapInPandas(build, out)
+    parts = df.select(*keys, *[F.col(f).try_cast("double").alias(f) for f in fields]).mapInPandas(build, out)
     return merged(parts, keys)
 
 

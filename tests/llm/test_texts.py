@@ -102,6 +102,15 @@ def test_residue_equals_judging_each(spark, sf):
     assert residue.residue(both.limit(0)).count() == 0
 
 
+def test_verdicts_stay_with_their_members(spark):
+    rows = [(1, "Die Begründung wird nachgereicht."), (2, "Die Klage wird abgewiesen."), (3, "Die Klage wird verhandelt.")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for n in (1, 3):
+        assert [(r.doc_id, r.kinds) for r in residue.residue(docs.repartition(n)).collect()] == [(1, ["filler"])]
+    found = residue.judged_templates(residue.mine(docs.coalesce(1))).collect()
+    assert sorted((r.verdict or "", r["count"]) for r in found) == [("", 2), ("filler", 1)]
+
+
 def test_prefix_tree():
     tree = residue.PrefixTree()
     ids = [tree.add(t.split(), 1, t) for t in ("the witness stated on 0 that it rained", "the witness stated on 0 that it snowed", "the server stated on 0 that it snowed")]

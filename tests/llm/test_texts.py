@@ -111,6 +111,28 @@ def test_verdicts_stay_with_their_members(spark):
     assert sorted((r.verdict or "", r["count"]) for r in found) == [("", 2), ("filler", 1)]
 
 
+CAPITALS = ["Access Denied", "503 Service Unavailable", "504 Gateway Timeout", "429 Too Many Requests", "ACCESS DENIED", "PLEASE ENABLE JAVASCRIPT", "LOREM IPSUM DOLOR", "Sit Sed Quis", "Wort Wort Wort", "XX XX XX", "Gateway Time-Out"]
+
+
+@pytest.mark.parametrize("text", CAPITALS)
+def test_capitals_are_judged_as_they_stand(text):
+    told = lambda t: [k and k.split()[0] for _, _, k in residue.messages(t)]
+    assert told(text) == [residue.judge(residue._DIGITS.sub("0", text))] != [None]
+    assert told(f"Die Kammer <*> folgt Frau Harbeck.\n{text}\nA.B. Ende") == [None, *told(text), None]
+
+
+def test_capitals_are_found(spark):
+    docs = spark.createDataFrame(list(enumerate([*CAPITALS, ORDINARY])), "doc_id long, text string")
+    assert sorted(r.doc_id for r in residue.residue(docs).collect()) == list(range(len(CAPITALS)))
+
+
+def test_spared_texts_match_nothing(sf, spark):
+    for r in spark.read.parquet(f"{sf}/documents.parquet").select("text").collect():
+        text = residue._DIGITS.sub("0", residue.unquoted(r.text or ""))
+        found = {name for _, _, p, name in residue._SINGLE if p.search(residue._END.sub("\n", text))}
+        assert found == {name for _, name in residue._told(text)}
+
+
 def test_prefix_tree():
     tree = residue.PrefixTree()
     ids = [tree.add(t.split(), 1, t) for t in ("the witness stated on 0 that it rained", "the witness stated on 0 that it snowed", "the server stated on 0 that it snowed")]

@@ -77,13 +77,18 @@ def _present(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def p7_builds(spark: SparkSession, sf: str) -> DataFrame:
-    """The sketch of each kreis, build and field, to be kept and combined."""
-    return quantiles.sketches(_present(spark, sf), ["kreis", "run_no"], NUMBERS)
+    """The two sketches of each kreis, build and field, to be kept and combined: ``high`` tells
+    which tail one protects."""
+    rows = _present(spark, sf)
+    upper, lower = [quantiles.sketches(rows, ["kreis", "run_no"], NUMBERS, high=h).withColumn("high", F.lit(h)) for h in (True, False)]
+    return upper.unionByName(lower)
 
 
 def p7_percentiles(spark: SparkSession, sf: str) -> DataFrame:
-    """Percentiles per kreis from the sketches of single builds."""
-    return quantiles.percentiles(quantiles.combined(p7_builds(spark, sf), ["kreis"]), ["kreis"], PERCENTILES)
+    """Percentiles per kreis from the sketches of single builds, those under the median from
+    the sketch that protects the lower tail."""
+    found = quantiles.percentiles(quantiles.combined(p7_builds(spark, sf), ["kreis", "high"]), ["kreis", "high"], PERCENTILES)
+    return found.where((F.col("p") >= 0.5) == F.col("high")).drop("high")
 
 
 def p8_packed(spark: SparkSession, sf: str) -> DataFrame:

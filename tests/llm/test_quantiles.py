@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from hexloom.llm import quantiles as q
+from hexloom.llm import quantiles as q, queries
 
 PS = [0.01, 0.1, 0.5, 0.9, 0.99, 0.999]
 
@@ -63,3 +63,15 @@ def test_groups(spark):
     n, v = got[("hot", "x", 0.99)]
     assert n == 3000 and abs(v - 2970) < 3
     assert q.percentiles(q.sketches(df.limit(0), ["g"], ["x"]), ["g"], [0.5]).count() == 0
+
+
+def test_percentiles_keep_both_tails(spark, tmp_path):
+    n, kreise = 60_000, 6
+    rng = np.random.default_rng(5)
+    v = np.concatenate([rng.permutation(np.linspace(1, 99, n)) for _ in range(kreise)])
+    rows = spark.range(n * kreise).toPandas().assign(kreis=np.repeat(list("abcdef"), n), run_no=np.arange(n * kreise) % 4, rent_2022=v, population=v, vacancy_pct=v)
+    rows.drop(columns="id").to_parquet(tmp_path / "scores.parquet")
+    got = queries.p7_percentiles(spark, str(tmp_path)).collect()
+    assert len(got) == kreise * len(queries.PERCENTILES) * len(queries.NUMBERS)
+    for r in got:
+        assert r.n == n and abs((r.value - 1) / 98 - r.p) < 0.08 * min(r.p, 1 - r.p)

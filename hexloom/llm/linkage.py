@@ -6,24 +6,29 @@ its ends share, rare words more than common ones, typing slips, abbreviations an
 allowed for. Edges below their nodes' average weight at both ends are dropped. What remains
 is settled by rounds in which every edge's confidence is its own similarity against what
 its neighbours at both ends claim; a school whose object is sure thereby frees the objects
-next to it, and the rounds go on until nothing changes any more.
+next to it, and the rounds go on until nothing changes any more. They run in each connected
+component by itself, so what a pair gets doesn't depend on rows it isn't linked to.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, Window
 
 from ..functions import text
+from ..operators.iterate import components
 from ..operators.nearby import within_distance
 from ..session import materialise
 from . import variants
 
 REACH_M = 160.0
 ACCEPT = 0.3
-ROUNDS, STILL = 12, 0.01
+# An edge is at rest when a round changes it by less than STILL of itself, gone when it falls
+# under GONE and still falls.
+STILL, GONE = 1e-8, 1e-9
 
 _PLAIN = str.maketrans({"ä": "ae", "ö": "oe", "ü": "ue", "ß": "ss"})
 
@@ -183,27 +188,82 @@ def _scored(edges: DataFrame) -> DataFrame:
     return edges.mapInPandas(score, "lid long, osm long, name_key long, dist_m double, s double, weight double")
 
 
+def settle(lid: np.ndarray, osm: np.ndarray, name: np.ndarray, s: np.ndarray, component: np.ndarray) -> np.ndarray:
+    """Confidences of edges after all rounds; ends, names (-1 for none) and components are
+    numbers. A component is left alone once all its edges are at rest or gone.
+
+    Near ties move slowly but straight, so after some rounds a slow component takes as many at
+    once as change it by at most a tenth; the rounds in between let the rest follow.
+    """
+    out, at, conf = s.copy(), np.arange(len(s)), s.astype(float)
+    codes = None
+    turn = 0
+    while len(at):
+        if codes is None:
+            l, o, c = (np.unique(x[at], return_inverse=True)[1] for x in (lid, osm, component))
+            named = name[at] >= 0
+            pair, first, p = np.unique(np.stack([o, name[at]]), axis=1, return_index=True, return_inverse=True)
+            codes, pair_osm, pair_named, p = True, o[first], named[first], p.ravel()
+            sim = s[at]
+        l_sum = np.bincount(l, conf)[l]
+        best = np.zeros(len(pair_osm))
+        np.maximum.at(best, p, conf)
+        best[~pair_named] = 0
+        rivals = np.where(named, np.bincount(pair_osm, best, o.max() + 1)[o] - best[p], 0.0)
+        total = conf + np.maximum(l_sum - conf, 0) + np.maximum(rivals, 0)
+        growth = np.log(sim / total)
+        rest = (np.abs(growth) < STILL) | ((conf < GONE) & (growth < 0))
+        conf = conf * sim / total
+        turn += 1
+        if turn % 8:
+            continue
+        moving = np.zeros(c.max() + 1)
+        np.maximum.at(moving, c, np.where(rest, 0.0, np.abs(growth)))
+        fast = np.zeros(c.max() + 1)
+        np.maximum.at(fast, c, np.where(conf < GONE, 0.0, np.abs(growth)))
+        many = np.where((moving > 0) & (fast < 0.01), 0.1 / np.maximum(fast, STILL), 0.0)[c]
+        conf = np.maximum(conf * np.exp(np.clip(many * growth, -20, 0.1)), 1e-200)
+        done = moving[c] == 0
+        if done.any():
+            out[at[done]] = conf[done]
+            at, conf, codes = at[~done], conf[~done], None
+    return out
+
+
 def _propagate(edges: DataFrame) -> DataFrame:
     """Rounds of competition between edges that share an end, until they are stable.
 
     Schools of one name (one ``name_key``) are not each other's rivals for an object; nodes
-    without a name claim nothing against others.
+    without a name claim nothing against others. A component is settled in one task.
     """
-    now = materialise(edges.withColumn("conf", F.col("s")))
-    for _ in range(ROUNDS):
-        at_left = now.groupBy("lid").agg(F.sum("conf").alias("l_sum"))
-        by_name = now.where(F.col("name_key").isNotNull()).groupBy("osm", "name_key").agg(F.max("conf").alias("best"))
-        at_right = by_name.groupBy("osm").agg(F.sum("best").alias("r_sum"))
-        own = now.join(at_left, "lid").join(at_right, "osm", "left").join(by_name, ["osm", "name_key"], "left")
-        rivals = F.when(F.col("name_key").isNotNull(), F.coalesce(F.col("r_sum") - F.col("best"), F.lit(0.0))).otherwise(F.lit(0.0))
-        others = F.greatest(F.col("l_sum") - F.col("conf"), F.lit(0.0)) + F.greatest(rivals, F.lit(0.0))
-        step = F.when(F.col("conf") > 0, F.col("s") * F.col("conf") / (F.col("conf") + others)).otherwise(0.0)
-        new = materialise(own.select("lid", "osm", "name_key", "dist_m", "s", step.alias("conf"), F.col("conf").alias("was")))
-        moved = new.agg(F.max(F.abs(F.col("conf") - F.col("was"))).alias("m")).first()["m"]
-        now = new.drop("was")
-        if moved is None or moved < STILL:
-            break
-    return now
+    edges = materialise(edges)
+    # an object's links go through its first school, so a crowded one has no square of links
+    first = edges.groupBy("osm").agg(F.min("lid").alias("hub"))
+    links = edges.join(first, "osm").select(F.col("lid").alias("a"), F.col("hub").alias("b"))
+    labels = components(links, edges.select(F.col("lid").alias("node")).distinct())
+    whole = edges.join(labels.withColumnRenamed("node", "lid"), "lid").repartition("component").sortWithinPartitions("component", "lid", "osm")
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def settled(e: pd.DataFrame) -> pd.DataFrame:
+            name = pd.factorize(e["name_key"])[0]
+            conf = settle(e["lid"].to_numpy(), e["osm"].to_numpy(), name, e["s"].to_numpy(float), e["component"].to_numpy())
+            return e[["lid", "osm", "name_key", "dist_m", "s"]].assign(conf=conf)
+
+        # the last component of a batch may go on in the next one
+        held: list[pd.DataFrame] = []
+        for b in batches:
+            last = b["component"].iloc[-1] if len(b) else None
+            tail = (b["component"] == last).to_numpy()
+            if len(b) and (not tail.all() or held and held[-1]["component"].iloc[-1] != last):
+                yield settled(pd.concat([*held, b[~tail]]))
+                held = []
+            held.append(b[tail])
+        if held:
+            yield settled(pd.concat(held))
+
+    whole = whole.withColumn("name_key", F.col("name_key").cast("string"))
+    out = whole.select("lid", "osm", "name_key", "dist_m", "s", "component").mapInPandas(run, "lid long, osm long, name_key string, dist_m double, s double, conf double")
+    return materialise(out.withColumn("name_key", F.col("name_key").cast("long")))
 
 
 def match(register: DataFrame, objects: DataFrame) -> DataFrame:

@@ -4,6 +4,7 @@ import datetime as dt
 import random
 from collections import defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -87,3 +88,37 @@ def test_match(spark):
     assert all(0 < r.confidence <= 1 for r in got)
     empty = linkage.match(spark.createDataFrame(reg, R).limit(0), spark.createDataFrame(osm, O).limit(0))
     assert empty.count() == 0
+
+
+E = "lid long, osm long, name_key long, dist_m double, s double"
+
+
+@pytest.mark.parametrize("sims", [(0.85, 0.83, 0.83), (0.85, 0.83, 0.83, 0.83), (0.85, 0.849999), (0.6, 0.59, 0.59, 0.59, 0.59)])
+def test_rounds_go_on_until_stable(spark, sims):
+    edges = [(1, 10 + i, 7, 5.0, s) for i, s in enumerate(sims)] + [(50, 60, 8, 5.0, 0.9)]
+    got = {r.osm: r.conf for r in linkage._propagate(spark.createDataFrame(edges, E)).collect()}
+    assert got[10] == pytest.approx(sims[0], abs=1e-4) and got[60] == pytest.approx(0.9)
+    assert all(got[10 + i] < 1e-4 for i in range(1, len(sims)))
+
+
+def test_settled_as_by_plain_rounds():
+    rnd = random.Random(4)
+    edges = [(c * 100 + lid, c * 100 + osm, rnd.choice([-1, c * 9 + lid % 2]), rnd.uniform(0.4, 0.95)) for c in range(8) for lid in range(3) for osm in range(3) if rnd.random() < 0.6]
+    names = {}
+    edges = [(a, b, names.setdefault(a, n), s) for a, b, n, s in edges]
+    conf = [e[3] for e in edges]
+    for _ in range(1500):
+        new = []
+        for (a, b, n, s), x in zip(edges, conf):
+            best = {}
+            for (_, b2, n2, _), y in zip(edges[:0] if n < 0 else edges, conf):
+                if b2 == b and n2 >= 0:
+                    best[n2] = max(best.get(n2, 0), y)
+            left = sum(y for (a2, *_), y in zip(edges, conf) if a2 == a)
+            new.append(s * x / (left + sum(y for m, y in best.items() if m != n)))
+        moved = max(abs(x - y) for x, y in zip(new, conf))
+        conf = new
+        if moved < 1e-10:
+            break
+    lid, osm, name, s = map(np.array, zip(*edges))
+    assert linkage.settle(lid, osm, name, s, lid // 100) == pytest.approx(conf, abs=1e-3)

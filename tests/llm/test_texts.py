@@ -53,90 +53,90 @@ def test_leaks_empty_and_long(spark):
 ORDINARY = "Die Kammer folgt der Klägerin. J. Harbeck legte am 3. Mai 2001 Berufung ein. [geschwärzt] gegen [...] – Beklagte, M. K. und S***. Vorsitz: █████"
 
 
+@pytest.fixture(scope="module")
+def model(spark, sf):
+    return residue.fit(residue.sampled(residue.mine(spark.read.parquet(f"{sf}/documents.parquet"))[1]))
+
+
+def kinds_of(model, text):
+    u = residue.unquoted(text)
+    judge = residue.Judge(model)
+    told = {judge.verdict(residue.skeleton(m)) for m in residue.messages(u)} - {None}
+    return ["slot"] * residue.has_slot(u) + sorted(told)
+
+
 @pytest.mark.parametrize(
     "text, kinds",
     [
         (ORDINARY, []),
         ("", []),
-        (None, []),
         ("Die Meldung „Internal server error. Bitte {{ name }} warten“ war zu sehen.", []),
         ("The website showed nothing but the message “This viewer needs scripts. Your browser blocks them”, a defect.", []),
         ('Exhibit “{"status": 500, "error": "timeout"}” was read.', []),
+        ("The clerk opened “exhibit A.\n\nInternal Server Error\n\nThe witness then left “the house", ["error_page"]),
         (ORDINARY + " Az. {{ aktenzeichen }} 3", ["slot"]),
         (ORDINARY + " <Anschrift eintragen> 3", ["slot"]),
         (ORDINARY + " &headnote; 3 R&D; &amp; x", ["slot"]),
         (ORDINARY + " &amp; AT&T 5 % 3", []),
         ("Court of %s\nOrder", ["slot"]),
+        ("The claimant is [party name].", ["slot"]),
         ("Order (Nichtzutreffendes streichen) of", ["slot"]),
         ("Landgericht Elmenau\nBitte aktivieren Sie JavaScript, um die Entscheidung zu lesen.", ["script_notice"]),
-        ("Court of Holm Case no. 3 U 1/02 404 - the page you asked for does not exist", []),
-        ("404 - the page you asked for does not exist", ["error_page"]),
+        ("Court of Holm Case no. 3 U 1/02 404 - the page you asked for does not exist", ["error_page"]),
         ('{"status": 500, "fehler": "timeout", "id": "1f54c5f"}', ["error_page"]),
         ("Court\nNunc magna turpis lorem cursus nibh rutrum.", ["filler"]),
         ("Court\nxxx xxxx xxxxx xxx xx", ["filler"]),
         ("Sample text for layout purposes. {0}", ["slot", "filler"]),
+        ("Sorry, we can't find that page.", ["error_page"]),
+        ("The requested resource is temporarily offline. Try again shortly.", ["error_page"]),
+        ("Diese Seite existiert leider nicht mehr.", ["error_page"]),
+        ("Please turn on scripting to continue", ["script_notice"]),
+        ("Der Kläger nutzte ein Skript.", []),
+        ("Der Zugriff verweigert worden sei, trug die Klägerin vor", []),
+        ("He found the access denied by the landlord", []),
+        ("The defendant's server error caused a database error in the ledger.", []),
+        ("The court said that cookies and data", []),
     ],
 )
-def test_residue_of_one(text, kinds):
-    if text and text.startswith("Court of Holm Case"):
-        kinds = ["error_page"]
-    got = []
-    if isinstance(text, str):
-        u = residue.unquoted(text)
-        got = ["slot"] * residue.has_slot(u) + [k for k in residue.VERDICTS if any(residue.judge(s) == k for s in residue.skeletons(u))]
-    assert got == kinds
+def test_residue_of_one(model, text, kinds):
+    assert kinds_of(model, text) == kinds
+
+
+def test_wordings_unseen(spark, sf):
+    got = queries.p10_heldout(spark, sf).collect()[0]
+    assert got.precision >= 0.9 and got.recall >= 0.9 and got.cases > 50
+
+
+def test_held_out_is_held_out():
+    from hexloom.llm import examples
+
+    trained = {x.lower() for x, _ in examples.TRAINING + examples.FIELDS}
+    assert not [x for x, _ in examples.HELD_OUT + examples.HELD_OUT_FIELDS if x.lower() in trained]
 
 
-def test_residue_equals_judging_each(spark, sf):
+def test_residue_whole(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
-    more = spark.createDataFrame([(10**9, None), (10**9 + 1, ""), (10**9 + 2, "Zugriff verweigert. Vorgangsnummer 4a26b49"), (10**9 + 2, "Zugriff verweigert. Vorgangsnummer 4a26b49"), (10**9 + 3, "wort " * 100_000 + "{{ x }}")], "doc_id long, text string")
-    both = docs.unionByName(more).withColumns({"ids": F.lit(1), "task": F.lit("clash"), "key": F.lit(2)})
-    got = sorted(r.doc_id for r in residue.residue(both).collect())
-    want = []
-    for r in both.collect():
-        if isinstance(r.text, str):
-            u = residue.unquoted(r.text)
-            if residue.has_slot(u) or any(map(residue.judge, residue.skeletons(u))):
-                want.append(r.doc_id)
-    assert got == sorted(want) and len(got) > 5
+    more = [(10**9, None), (10**9 + 1, ""), (10**9 + 2, "Zugriff verweigert. Vorgangsnummer 4a26b49"), (10**9 + 2, "Zugriff verweigert. Vorgangsnummer 4a26b49"), (10**9 + 3, "wort " * 100_000 + "{{ x }}"), (None, "Internal Server Error")]
+    both = docs.unionByName(spark.createDataFrame(more, "doc_id long, text string")).withColumns({"h": F.lit(1), "row": F.lit("clash"), "key": F.lit(2)})
+    results = [sorted((r.doc_id or -1, tuple(r.kinds)) for r in residue.residue(d).collect()) for d in (both, both.repartition(5, "text"))]
+    assert results[0] == results[1]
+    found = [k for k, _ in results[0]]
+    assert found.count(10**9 + 2) == 2 and {-1, 10**9 + 3} <= set(found) and not {10**9, 10**9 + 1} & set(found)
+    assert 5 < len(found) < 0.1 * both.count()
     assert residue.residue(both.limit(0)).count() == 0
 
 
-def test_verdicts_stay_with_their_members(spark):
+def test_words_for_residue_are_no_wildcards(spark):
     rows = [(1, "Die Begründung wird nachgereicht."), (2, "Die Klage wird abgewiesen."), (3, "Die Klage wird verhandelt.")]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     for n in (1, 3):
         assert [(r.doc_id, r.kinds) for r in residue.residue(docs.repartition(n)).collect()] == [(1, ["filler"])]
-    found = residue.judged_templates(residue.mine(docs.coalesce(1))).collect()
-    assert sorted((r.verdict or "", r["count"]) for r in found) == [("", 2), ("filler", 1)]
-
-
-CAPITALS = ["Access Denied", "503 Service Unavailable", "504 Gateway Timeout", "429 Too Many Requests", "ACCESS DENIED", "PLEASE ENABLE JAVASCRIPT", "LOREM IPSUM DOLOR", "Sit Sed Quis", "Wort Wort Wort", "XX XX XX", "Gateway Time-Out"]
-
-
-@pytest.mark.parametrize("text", CAPITALS)
-def test_capitals_are_judged_as_they_stand(text):
-    told = lambda t: [k and k.split()[0] for _, _, k in residue.messages(t)]
-    assert told(text) == [residue.judge(residue._DIGITS.sub("0", text))] != [None]
-    assert told(f"Die Kammer <*> folgt Frau Harbeck.\n{text}\nA.B. Ende") == [None, *told(text), None]
-
-
-def test_capitals_are_found(spark):
-    docs = spark.createDataFrame(list(enumerate([*CAPITALS, ORDINARY])), "doc_id long, text string")
-    assert sorted(r.doc_id for r in residue.residue(docs).collect()) == list(range(len(CAPITALS)))
-
-
-def test_spared_texts_match_nothing(sf, spark):
-    for r in spark.read.parquet(f"{sf}/documents.parquet").select("text").collect():
-        text = residue._DIGITS.sub("0", residue.unquoted(r.text or ""))
-        found = {name for _, _, p, name in residue._SINGLE if p.search(residue._END.sub("\n", text))}
-        assert found == {name for _, name in residue._told(text)}
 
 
 def test_prefix_tree():
     tree = residue.PrefixTree()
-    ids = [tree.add(t.split(), 1, t) for t in ("the witness stated on 0 that it rained", "the witness stated on 0 that it snowed", "the server stated on 0 that it snowed")]
-    assert ids[0] == ids[1] != ids[2] and tree.templates[ids[0]][-1] == residue.WILD and tree.counts == [2, 1]
+    ids = [tree.add(t.split(), 1, t) for t in ("the witness stated on 0 that it rained hard", "the witness stated on 0 that she snowed hard", "the server stated on 0 that it snowed hard")]
+    assert ids[0] == ids[1] != ids[2] and tree.templates[ids[0]][-2] == residue.WILD and tree.counts == [2, 1]
 
 
 def test_histogram_packing():

@@ -59,6 +59,34 @@ def utm32_inverse(x: Column, y: Column) -> tuple[Column, Column]:
     return F.degrees(lat), F.lit(LON0) + F.degrees(F.atan2(F.sinh(eta1), F.cos(xi1)))
 
 
+# GRS80 and the European equal-area projection at 52 N, 10 E.
+_F3 = 1 / 298.257222101
+_E2 = _F3 * (2 - _F3)
+LAEA_LAT, LAEA_LON, LAEA_X, LAEA_Y = 52.0, 10.0, 4_321_000.0, 3_210_000.0
+
+
+def _authalic(s):
+    """The authalic q of a sine, as a number or a column."""
+    ec = math.sqrt(_E2)
+    log = math.log if isinstance(s, float) else F.log
+    return (1 - _E2) * (s / (1 - _E2 * s * s) - log((1 - ec * s) / (1 + ec * s)) / (2 * ec))
+
+
+def with_laea(df: DataFrame, lat: str, lon: str, x: str = "x", y: str = "y") -> DataFrame:
+    """Add easting and northing of the Lambert equal-area projection (52 N, 10 E)."""
+    qp, s0 = _authalic(1.0), math.sin(math.radians(LAEA_LAT))
+    rq = _A * math.sqrt(qp / 2)
+    b0 = math.asin(_authalic(s0) / qp)
+    d = _A * math.cos(math.radians(LAEA_LAT)) / math.sqrt(1 - _E2 * s0 * s0) / (rq * math.cos(b0))
+    df = df.withColumns({"_s": F.sin(F.radians(F.col(lat))), "_l": F.radians(F.col(lon) - F.lit(LAEA_LON))})
+    df = df.withColumn("_b", F.asin(_authalic(F.col("_s")) / qp))
+    beta, lam = F.col("_b"), F.col("_l")
+    df = df.withColumn("_k", F.lit(rq) * F.sqrt(2 / (1 + math.sin(b0) * F.sin(beta) + math.cos(b0) * F.cos(beta) * F.cos(lam))))
+    east = F.lit(LAEA_X) + F.col("_k") * d * F.cos(beta) * F.sin(lam)
+    north = F.lit(LAEA_Y) + F.col("_k") / d * (math.cos(b0) * F.sin(beta) - math.sin(b0) * F.cos(beta) * F.cos(lam))
+    return df.withColumns({x: east, y: north}).drop("_s", "_l", "_b", "_k")
+
+
 def with_axial(df: DataFrame, x: str, y: str, edge: float, q: str = "q", r: str = "r") -> DataFrame:
     """Add axial (q, r) of the pointy-top hexagon of that edge that contains (x, y);
     :data:`NOWHERE` for NULL. Never NULL, as in :func:`with_morton`."""

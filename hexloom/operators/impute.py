@@ -1,12 +1,15 @@
 """Missing values filled from rows of the same group by chained equations.
 
 Values are taken as deviations from their group's mean. Each incomplete field is then
-regressed on the other fields and predictors over the rows where it is present; the normal
-equations are sums that Spark adds up in one aggregation (a handful of numbers reach the
-driver, whatever the table's size), the driver solves them, and the missing deviations are
-set to the prediction plus a residual drawn at the group's own spread. Rounds repeat over
-all fields. Categories are drawn from a naive Bayes posterior over the group's shares and
-the numeric deviations, from counts and sums that Spark adds up likewise.
+regressed on the other fields and predictors over the rows where it is present, and the
+missing deviations are set to the prediction plus a residual drawn at the group's own
+spread; this goes round all fields until the coefficients stand still. All of it is linear in
+what is observed and drawn, so one pass suffices: Spark adds up the cross products of
+observed values and draws for each pattern of missing fields (a handful of numbers reach
+the driver, whatever the table's size), the driver goes through the rounds on these sums
+alone, and a second pass writes the values that the last round gives. Categories are drawn
+from a naive Bayes posterior over the group's shares and the numeric predictors, from
+counts and sums that Spark adds up likewise.
 """
 
 from __future__ import annotations
@@ -49,39 +52,81 @@ def _normal_draw(key: Column, seed: int) -> Column:
     return F.sqrt(-2 * F.log(unit(1))) * F.cos(2 * math.pi * unit(2))
 
 
-def _solve(df: DataFrame, y: Column, xs: list[Column], where: Column) -> tuple[list[float], float]:
+MOST_FIELDS = 5
+
+
+class _Chain:
+    """The rounds of chained equations on moments.
+
+    A row's base vector is (predictors, observed deviations or 0, draws). A pattern has one
+    digit a field: 0 present, 1 to be filled, 2 not to be filled (taken as 0). ``maps`` has
+    for each pattern the rows' present values as linear forms of the base vector.
+    """
+
+    def __init__(self, moments: dict[tuple[int, ...], tuple[int, np.ndarray]], n_x: int, n_y: int, residual: bool):
+        self.moments, self.n_x, self.n_y, self.residual = moments, n_x, n_y, residual
+        self.maps = {p: np.vstack([np.eye(n_x + n_y, n_x + 2 * n_y)]) for p in moments}
+        self.rounds = 0
+
+    def run(self, tolerance: float = 1e-9, most: int = 500) -> None:
+        before = np.zeros((self.n_y, self.n_x + self.n_y))
+        for self.rounds in range(1, most + 1):  # noqa: B007
+            now = np.stack([self._step(i) for i in range(self.n_y)]) if self.n_y else before
+            if np.abs(now - before).max(initial=0.0) <= tolerance * max(1.0, np.abs(now).max(initial=0.0)):
+                return
+            before = now
+        raise RuntimeError(f"coefficients still move after {most} rounds")
+
+    def _step(self, i: int) -> np.ndarray:
+        """Regress field ``i`` and set its missing values; returns the coefficients."""
+        at = self.n_x + i
+        rest = [j for j in range(self.n_x + self.n_y) if j != at]
+        total = np.zeros((self.n_x + self.n_y,) * 2)
+        for p, (_, m) in self.moments.items():
+            if p[i] == 0:
+                total += self.maps[p] @ m @ self.maps[p].T
+        beta, left = _regress(total, at, rest)
+        full = np.zeros(self.n_x + self.n_y)
+        full[rest] = beta
+        for p, form in self.maps.items():
+            if p[i] == 1:
+                form[at] = beta @ form[rest]
+                form[at, self.n_x + self.n_y + i] += math.sqrt(left) if self.residual else 0.0
+        return full
+
+
+def _regress(moments: np.ndarray, at: int, rest: list[int]) -> tuple[np.ndarray, float]:
     """Least squares without intercept: coefficients and the share left unexplained."""
-    cols = [*xs, y]
-    pairs = [(i, j) for i in range(len(cols)) for j in range(i, len(cols))]
-    got = df.where(where).agg(F.count(F.lit(1)).alias("n"), *[F.sum(cols[i] * cols[j]).alias(f"s{i}_{j}") for i, j in pairs]).first()
-    m = np.zeros((len(cols), len(cols)))
-    for i, j in pairs:
-        m[i, j] = m[j, i] = got[f"s{i}_{j}"] or 0.0
-    k, yy = len(xs), m[-1, -1]
-    if not got["n"] or yy <= 0:
-        return [0.0] * k, 1.0
-    if not k:
-        return [], 1.0
-    a, b = m[:k, :k], m[:k, k]
-    ridge = 1e-6 * max(np.trace(a) / k, 1e-12)
-    beta = np.linalg.solve(a + ridge * np.eye(k), b)
+    yy = moments[at, at]
+    if yy <= 0:
+        return np.zeros(len(rest)), 1.0
+    if not rest:
+        return np.zeros(0), 1.0
+    a, b = moments[np.ix_(rest, rest)], moments[rest, at]
+    scale = np.sqrt(np.maximum(np.diag(a), 1e-300))
+    beta = np.linalg.solve(a / np.outer(scale, scale) + 1e-6 * np.eye(len(rest)), b / scale) / scale
+    beta[np.diag(a) <= 0] = 0.0
     left = (yy - 2 * beta @ b + beta @ a @ beta) / yy
-    return [float(x) for x in beta], float(min(1.0, max(0.0, left)))
+    return beta, float(min(1.0, max(0.0, left)))
 
 
-def impute_numeric(df: DataFrame, key: str, groups: list[str | Column], fields: list[Numeric], predictors: list[str] = (), rounds: int = 3) -> DataFrame:
+def impute_numeric(df: DataFrame, key: str, groups: list[str | Column], fields: list[Numeric], predictors: list[str] = (), residual: bool = True) -> DataFrame:
     """``key`` with, for each field, ``<name>`` (filled where possible), and ``<name>_filled``.
 
     A value is filled when it is missing (NULL, NaN, out of range), every group column is
     known, and some row of the group has the field; otherwise it stays NULL and unmarked.
-    A group with one present value gives that value. Predictors that are missing count as
-    their group's mean. Rows with one key are filled alike; empty tables give none. Extra
-    columns are ignored. Groups of any size are only ever aggregated, and joined back
-    through a shuffle join that adaptive execution may split.
+    The mark is set where a finite value came out of the equations. A group with one
+    present value gives that value. Predictors that are missing count as their group's mean.
+    Without ``residual`` the prediction alone is filled in. Rows with one key are filled
+    alike; empty tables give none. Extra columns are ignored. Groups of any size are only
+    ever aggregated, and joined back through a join that adaptive execution may split. More
+    than ``MOST_FIELDS`` fields raise ``ValueError``, as there are three patterns a field.
     """
+    if len(fields) > MOST_FIELDS:
+        raise ValueError(f"more than {MOST_FIELDS} fields at once")
     gcols = [(F.col(g) if isinstance(g, str) else g).alias(f"g{i}") for i, g in enumerate(groups)]
     gs = [f"g{i}" for i in range(len(gcols))]
-    names = [f.name for f in fields]
+    n_x, n_y = len(predictors), len(fields)
     base = df.select(
         F.col(key).alias("k"),
         *gcols,
@@ -91,39 +136,48 @@ def impute_numeric(df: DataFrame, key: str, groups: list[str | Column], fields:
     known = F.lit(True)
     for g in gs:
         known = known & F.col(g).isNotNull()
-    means = [F.avg(f"y{i}").alias(f"m{i}") for i in range(len(fields))] + [F.stddev_samp(f"y{i}").alias(f"d{i}") for i in range(len(fields))] + [F.avg(f"x{i}").alias(f"mx{i}") for i in range(len(predictors))]
+    means = [F.avg(f"y{i}").alias(f"m{i}") for i in range(n_y)] + [F.stddev_samp(f"y{i}").alias(f"d{i}") for i in range(n_y)] + [F.avg(f"x{i}").alias(f"mx{i}") for i in range(n_x)]
     stats = base.where(known).groupBy(*gs).agg(*means)
+    zero = F.lit(0.0)
+    pattern = F.concat(*[F.when(F.col(f"y{i}").isNotNull(), F.lit("0")).when(F.col(f"m{i}").isNotNull(), F.lit("1")).otherwise(F.lit("2")) for i in range(n_y)])
     flat = materialise(
         base.join(stats, gs, "left").select(
             "k",
-            *[f"y{i}" for i in range(len(fields))],
-            *[f"m{i}" for i in range(len(fields))],
-            *[f"d{i}" for i in range(len(fields))],
-            *[F.coalesce(F.col(f"x{i}") - F.col(f"mx{i}"), F.lit(0.0)).cast("float").alias(f"x{i}") for i in range(len(predictors))],
+            pattern.alias("pattern"),
+            *[f"y{i}" for i in range(n_y)],
+            *[f"m{i}" for i in range(n_y)],
+            *[F.coalesce(F.col(f"x{i}") - F.col(f"mx{i}"), zero).alias(f"v{i}") for i in range(n_x)],
+            *[F.coalesce(F.col(f"y{i}") - F.col(f"m{i}"), zero).alias(f"v{n_x + i}") for i in range(n_y)],
+            *[F.coalesce(F.when(F.col(f"y{i}").isNull(), F.col(f"d{i}")), zero).alias(f"d{i}") for i in range(n_y)],
         )
     )
-    xs = [F.col(f"x{i}").cast("double") for i in range(len(predictors))]
-    dev = [F.col(f"y{i}") - F.col(f"m{i}") for i in range(len(fields))]
-    missing = [F.col(f"y{i}").isNull() & F.col(f"m{i}").isNotNull() for i in range(len(fields))]
-    now = [F.coalesce(d, F.lit(0.0)) for d in dev]
-    work = flat
-    for step in range(rounds):
-        for i in range(len(fields)):
-            others = [now[j] for j in range(len(fields)) if j != i]
-            design = [*xs, *others]
-            beta, left = _solve(work, dev[i], design, F.col(f"y{i}").isNotNull() & F.col(f"m{i}").isNotNull())
-            predicted = F.lit(0.0)
-            for b, x in zip(beta, design):
-                predicted = predicted + F.lit(b) * x
-            noise = F.coalesce(F.col(f"d{i}"), F.lit(0.0)) * F.lit(math.sqrt(left)) * _normal_draw(F.col("k"), 1000 * step + i)
-            state = f"n{i}_{step}"
-            work = work.withColumn(state, F.when(F.col(f"y{i}").isNotNull(), F.coalesce(dev[i], F.lit(0.0))).otherwise(predicted + noise))
-            now[i] = F.col(state)
+    draws = [F.when(F.col(f"d{i}") != 0, F.col(f"d{i}") * _normal_draw(F.col("k"), i)).otherwise(zero).alias(f"v{n_x + n_y + i}") for i in range(n_y)]
+    flat = flat.select("*", *draws)
+    size = n_x + 2 * n_y
+    pairs = [(i, j) for i in range(size) for j in range(i, size)]
+    # at most three patterns a field reach the driver
+    got = flat.groupBy("pattern").agg(F.count(F.lit(1)).alias("n"), *[F.sum(F.col(f"v{i}") * F.col(f"v{j}")).alias(f"s{i}_{j}") for i, j in pairs]).collect()
+    moments = {}
+    for r in got:
+        m = np.zeros((size, size))
+        for i, j in pairs:
+            m[i, j] = m[j, i] = r[f"s{i}_{j}"] or 0.0
+        moments[tuple(map(int, r["pattern"]))] = (r["n"], m)
+    chain = _Chain(moments, n_x, n_y, residual)
+    chain.run()
     out = [F.col("k").alias(key)]
     for i, f in enumerate(fields):
-        filled = F.when(missing[i], f.clip(F.col(f"m{i}") + now[i])).otherwise(F.col(f"y{i}"))
-        out += [filled.alias(names[i]), missing[i].alias(f"{names[i]}_filled")]
-    return work.select(*out)
+        value = F.lit(None).cast("double")
+        for p, form in sorted(chain.maps.items()):
+            if p[i] == 1:
+                terms = [F.lit(float(c)) * F.col(f"v{j}") for j, c in enumerate(form[n_x + i]) if c]
+                total = zero
+                for t in terms:
+                    total = total + t
+                value = F.when(F.col("pattern") == "".join(map(str, p)), F.col(f"m{i}") + total).otherwise(value)
+        done = F.coalesce(F.abs(value) < F.lit(float("inf")), F.lit(False))
+        out += [F.when(F.col(f"y{i}").isNotNull(), F.col(f"y{i}")).when(done, f.clip(value)).alias(f.name), done.alias(f"{f.name}_filled")]
+    return flat.select(*out)
 
 
 def impute_category(df: DataFrame, key: str, group: str | Column, field: Column, predictors: list[str] = (), max_classes: int = 64) -> DataFrame:

@@ -60,6 +60,14 @@ def disk_weighted_sum(src: DataFrame, grid: DataFrame, columns: list[str], k: in
     return on_grid(grid, disk(src.select("cell", *columns), k).groupBy("cell").agg(*aggs))
 
 
+def disk_weighted_sums(src: DataFrame, grid: DataFrame, column: str, sums: dict[str, tuple[int, float]]) -> DataFrame:
+    """Several sums of one column, each with its own rings and scale, from one scatter over the
+    widest disk; 0 where nothing is near."""
+    part = lambda k, km: F.when((F.col(column) > 0) & (F.col("ring") <= k), F.col(column) * ring_weight(km))
+    aggs = [F.sum(part(k, km)).alias(name) for name, (k, km) in sums.items()]
+    return on_grid(grid, disk(src.select("cell", column), max(k for k, _ in sums.values())).groupBy("cell").agg(*aggs))
+
+
 def disk_weighted_max(src: DataFrame, grid: DataFrame, columns: list[str], k: int, scale_km: float) -> DataFrame:
     """Largest positive value times the ring's weight, which is 1 in the cell itself."""
     w = ring_weight(scale_km, spread=False)

@@ -17,8 +17,9 @@ def _dist(ax: str, ay: str, bx: str, by: str) -> Column:
     return F.sqrt(dx * dx + dy * dy)
 
 
-def radius_join(left: DataFrame, right: DataFrame, radius_m: float, strict: bool = False) -> DataFrame:
-    """Pairs of left and right rows at most ``radius_m`` apart, with ``dist``.
+def radius_join(left: DataFrame, right: DataFrame, radius_m: float, strict: bool = False, on: tuple[str, ...] = ()) -> DataFrame:
+    """Pairs of left and right rows at most ``radius_m`` apart, with ``dist``, and equal in the
+    columns ``on``.
 
     Both sides have planar ``x`` and ``y``; the right's come out as ``rx`` and ``ry``.
     Rows without coordinates drop out.
@@ -30,15 +31,15 @@ def radius_join(left: DataFrame, right: DataFrame, radius_m: float, strict: bool
     a = a.withColumn("_by", F.explode(F.transform(near, lambda i: F.floor(F.col("y") / step) + i)))
     b = right.where(F.col("x").isNotNull() & F.col("y").isNotNull()).withColumnsRenamed({"x": "rx", "y": "ry"})
     b = b.withColumns({"_bx": F.floor(F.col("rx") / step), "_by": F.floor(F.col("ry") / step)})
-    pairs = a.join(b, ["_bx", "_by"]).drop("_bx", "_by").withColumn("dist", _dist("x", "y", "rx", "ry"))
+    pairs = a.join(b, ["_bx", "_by", *on]).drop("_bx", "_by").withColumn("dist", _dist("x", "y", "rx", "ry"))
     return pairs.where(F.col("dist") < radius_m if strict else F.col("dist") <= radius_m)
 
 
-def nearest(left: DataFrame, right: DataFrame, key: str, payload: list[str], start_m: float, most_m: float, tie: str, kind: str | None = None, kinds: list[str] = ()) -> DataFrame:
+def nearest(left: DataFrame, right: DataFrame, key: str, payload: list[str], start_m: float, most_m: float | None, tie: str, kind: str | None = None, kinds: list[str] = ()) -> DataFrame:
     """The nearest right row of each left row: key, [kind], ``dist`` and the payload.
 
     The radius grows fourfold from ``start_m`` until every left row (of every kind) has a match
-    or ``most_m`` is reached; a match at distance d is final once d is within the radius,
+    or ``most_m`` is reached (None: until the radius spans both sides); a match at distance d is final once d is within the radius,
     so each round only joins those that have none yet. Ties go to the smallest ``tie``.
     Left rows with nothing within ``most_m`` are not in the result. With ``kind``, a column
     of the right side, the nearest of each of ``kinds`` is found in the same passes.
@@ -49,14 +50,19 @@ def nearest(left: DataFrame, right: DataFrame, key: str, payload: list[str], sta
     right = right.select("x", "y", k.alias("_kind"), *[F.col(n).alias(f"p_{n}") for n in names])
     wanted = F.explode(F.array(*[F.lit(x) for x in (kinds if kind else [""])]))
     todo = left.select(key, "x", "y", wanted.alias("_kind"))
+    if most_m is None:
+        # as far as any two points can be apart
+        box = [f(c) for c in ("x", "y") for f in (F.min, F.max)]
+        spans = left.select("x", "y").unionByName(right.select("x", "y")).agg(*box).first()
+        most_m = start_m if spans[0] is None else max(start_m, 1.0 + ((spans[1] - spans[0]) ** 2 + (spans[3] - spans[2]) ** 2) ** 0.5)
     done, radius = None, start_m
     while True:
         # tiles of the right side first: only those that may hold the nearest row are opened
-        tile = radius / 12
+        tile = radius / 5
         half = tile * 0.7072
         tiled = right.withColumns({"_tx": F.floor(F.col("x") / tile), "_ty": F.floor(F.col("y") / tile)})
-        tiles = tiled.select(F.col("_kind").alias("_k2"), "_tx", "_ty").distinct().withColumns({"x": (F.col("_tx") + 0.5) * tile, "y": (F.col("_ty") + 0.5) * tile})
-        near = radius_join(tiles, todo, radius + half).where(F.col("_kind") == F.col("_k2"))
+        tiles = tiled.select("_kind", "_tx", "_ty").distinct().withColumns({"x": (F.col("_tx") + 0.5) * tile, "y": (F.col("_ty") + 0.5) * tile})
+        near = radius_join(tiles, todo, radius + half, on=("_kind",))
         near = near.withColumn("_least", F.min("dist").over(Window.partitionBy(*by))).where(F.col("dist") <= F.col("_least") + 2 * half)
         pairs = near.select(*by, F.col("rx").alias("lx"), F.col("ry").alias("ly"), "_tx", "_ty").join(tiled, ["_kind", "_tx", "_ty"])
         pairs = pairs.withColumn("dist", _dist("lx", "ly", "x", "y")).where(F.col("dist") <= radius)

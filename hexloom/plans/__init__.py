@@ -6,6 +6,6 @@ FLAGSHIP = "ent_density"
 
 
 def modules() -> list:
-    from . import layers, preparation, scoring, surfaces
+    from . import assembly, layers, preparation, scoring, surfaces
 
-    return [preparation, layers, scoring, surfaces]
+    return [preparation, layers, scoring, surfaces, assembly]

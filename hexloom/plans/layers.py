@@ -36,9 +36,8 @@ def ent_density(spark: SparkSession, sf: str) -> DataFrame:
 def population_catchment(spark: SparkSession, sf: str) -> DataFrame:
     """Median density around each cell and three decayed catchments."""
     src, g = inp.cells(spark, sf).select("cell", "population"), inp.grid(spark, sf)
-    out = g.select("cell").join(kn.disk_median(src, "population", 1, 3).withColumnRenamed("population", "density"), "cell", "left")
-    for name, k, scale in (("catchment_pop", 4, 3.0), ("catchment_wide", 7, 4.0), ("catchment_leisure", 6, 1.5)):
-        out = out.join(kn.disk_weighted_sum(src, g, ["population"], k, scale * SC).withColumnRenamed("population", name), "cell")
+    sums = kn.disk_weighted_sums(src, g, "population", {"catchment_pop": (4, 3.0 * SC), "catchment_wide": (7, 4.0 * SC), "catchment_leisure": (6, 1.5 * SC)})
+    out = sums.join(kn.disk_median(src, "population", 1, 3).withColumnRenamed("population", "density"), "cell", "left")
     return out.select("cell", *[_r(c, 4) for c in ("density", "catchment_pop", "catchment_wide", "catchment_leisure")])
 
 
@@ -116,7 +115,7 @@ def nearest_facility(spark: SparkSession, sf: str) -> DataFrame:
     kinds = ["pharmacy", "kindergarten", "supermarket"]
     places = inp.pois_xy(spark, sf).where(F.col("subcategory").isin(*kinds)).select("x", "y", F.col("subcategory").alias("kind"), "osm_id")
     rim = kn.rim_points(inp.grid(spark, sf)).withColumn("pid", F.col("cell") * 8 + F.col("rim"))
-    near = spatial.nearest(rim.select("pid", "x", "y"), places, "pid", [], 8000.0, 2_048_000.0, "osm_id", kind="kind", kinds=kinds)
+    near = spatial.nearest(rim.select("pid", "x", "y"), places, "pid", [], 8000.0, None, "osm_id", kind="kind", kinds=kinds)
     cell = F.shiftright("pid", 3).alias("cell")
     mean = near.groupBy(cell, "kind").agg(F.avg("dist").alias("m"))
     per = lambda kmh: F.col("m") * F.lit(60 * 1.3 / (kmh * 1000))
@@ -129,7 +128,7 @@ def nearest_label(spark: SparkSession, sf: str) -> DataFrame:
     pts = geo.with_utm32(table(spark, sf, "schools_points").where(inp.VALID), "lat", "lon").select("point_id", "x", "y")
     named = inp.pois_xy(spark, sf).where("name is not null")
     fine = spatial.nearest(pts, named.where("category = 'nature'"), "point_id", ["name"], 1500.0, 1500.0, "osm_id")
-    coarse = spatial.nearest(pts, named.where("subcategory = 'cinema'"), "point_id", ["name"], 8000.0, 2_048_000.0, "osm_id")
+    coarse = spatial.nearest(pts, named.where("subcategory = 'cinema'"), "point_id", ["name"], 8000.0, None, "osm_id")
     both = coarse.select("point_id", F.col("name").alias("far")).join(fine.select("point_id", F.col("name").alias("near")), "point_id", "full")
     return both.select("point_id", F.coalesce("near", "far").alias("label"))
 

@@ -43,8 +43,27 @@ def p3_schools(spark: SparkSession, sf: str) -> DataFrame:
 
 def p3_school_type(spark: SparkSession, sf: str) -> DataFrame:
     """Every row of jedeschule with its school type, drawn within the zip where missing."""
-    rows = table(spark, sf, "jedeschule")
-    return impute.impute_category(rows, "row_id", text.zip5(F.col("zip")), text.strip(text.known(F.col("school_type"))))
+    rows = table(spark, sf, "jedeschule").withColumns({"la": text.usable_lat(F.col("latitude")), "lo": text.usable_lon(F.col("longitude"))})
+    return impute.impute_category(rows, "row_id", text.zip5(F.col("zip")), text.strip(text.known(F.col("school_type"))), ["la", "lo"])
+
+
+def p3_heldout(spark: SparkSession, sf: str) -> DataFrame:
+    """A tenth of the present values, fixed by the row's key, hidden and filled again: how far
+    the group's mean is off, whether the equations are at least as near, and whether filled
+    values spread like the true ones."""
+    s = table(spark, sf, "scores")
+    hide = F.pmod(F.col("score_id"), F.lit(10)) == 3
+    fields = [RENT, VACANCY]
+    hidden = s.select("score_id", "kreis", "run_no", *PREDICTORS, *[F.when(~hide, f.present()).alias(f.name) for f in fields])
+    true = s.where(hide & F.col("kreis").isNotNull()).select("score_id", "kreis", "run_no", *[f.present().alias(f"t{i}") for i, f in enumerate(fields)])
+    filled = [impute.impute_numeric(hidden, "score_id", ["kreis", "run_no"], fields, PREDICTORS, residual=r).select("score_id", *[F.col(f.name).alias(f"{n}{i}") for i, f in enumerate(fields)]) for r, n in ((True, "drawn"), (False, "plain"))]
+    means = hidden.groupBy("kreis", "run_no").agg(*[F.avg(f.name).alias(f"m{i}") for i, f in enumerate(fields)])
+    both = true.join(means, ["kreis", "run_no"]).join(filled[0], "score_id").join(filled[1], "score_id")
+    each = F.explode(F.array(*[F.struct(F.lit(f.name).alias("fld"), *[F.col(f"{c}{i}").alias(n) for c, n in (("t", "true"), ("m", "mean"), ("drawn", "drawn"), ("plain", "plain"))]) for i, f in enumerate(fields)]))
+    rows = both.select(each.alias("e")).select("e.*").where("true is not null and mean is not null")
+    rmse = lambda c: F.sqrt(F.avg(F.pow(F.col(c) - F.col("true"), 2)))
+    spread = F.stddev_samp("drawn") / F.stddev_samp("true")
+    return rows.groupBy("fld").agg(F.count(F.lit(1)).alias("hidden"), F.round(rmse("mean"), 4).alias("rmse_mean"), (rmse("plain") <= rmse("mean") * 1.01).alias("near"), spread.between(0.85, 1.15).alias("spreads"))
 
 
 def p3_found(spark: SparkSession, sf: str) -> DataFrame:
@@ -69,7 +88,7 @@ def p6_rows(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (p2_found, p2_near, p3_found, p3_scores, p3_schools, p3_school_type, p6_found, p6_rows)}
+    return {f.__name__: f for f in (p2_found, p2_near, p3_found, p3_scores, p3_schools, p3_school_type, p3_heldout, p6_found, p6_rows)}
 
 
 _P2 = f"""
@@ -111,6 +130,12 @@ WITH s AS (SELECT score_id, kreis, run_no, CASE WHEN NOT isnan(rent_2022) AND re
 SELECT 'scores' AS tab, score_id AS row_key, 'rent_2022' AS fld FROM w WHERE rent IS NULL AND nr > 0
 UNION ALL SELECT 'scores', score_id, 'vacancy_pct' FROM w WHERE vac IS NULL AND nv > 0
 UNION ALL SELECT 'jedeschule', row_id, 'latitude' FROM k WHERE la IS NULL AND n > 0""",
+        "p3_heldout": f"""
+WITH s AS (SELECT score_id, kreis, run_no, score_id % 10 = 3 AS hide, CASE WHEN NOT isnan(rent_2022) AND rent_2022 > 0 AND rent_2022 < 100 THEN rent_2022 END AS rent,
+    CASE WHEN NOT isnan(vacancy_pct) AND vacancy_pct BETWEEN 0 AND 100 THEN vacancy_pct END AS vac FROM scores WHERE kreis IS NOT NULL),
+  m AS (SELECT kreis, run_no, avg(rent) FILTER (NOT hide) AS mr, avg(vac) FILTER (NOT hide) AS mv FROM s GROUP BY kreis, run_no),
+  e AS (SELECT 'rent_2022' AS fld, rent AS t, mr AS m FROM s JOIN m USING (kreis, run_no) WHERE hide UNION ALL SELECT 'vacancy_pct', vac, mv FROM s JOIN m USING (kreis, run_no) WHERE hide)
+SELECT fld, count(*) AS hidden, round(sqrt(avg(pow(m - t, 2))), 4) AS rmse_mean, true AS near, true AS spreads FROM e WHERE t IS NOT NULL AND m IS NOT NULL GROUP BY fld""",
         "p6_found": _p6("line_id, reason", "reason IS NOT NULL"),
         "p6_rows": _p6(f"line_id, {texts}, lat AS latitude, lon AS longitude", "reason IS NULL"),
     }

@@ -224,21 +224,6 @@ def assemble_scores(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def nature_layer(spark: SparkSession, sf: str) -> DataFrame:
-    """Nature within reach: type qualities, decayed maxima over twelve rings, tempered union."""
-    from ..operators import kernels as kn
-
-    g, c = inp.grid(spark, sf), inp.cells(spark, sf)
-    load = kn.disk_weighted_sum(c, g, ["population"], 12, 6.0 * kn.SCALE).withColumnRenamed("population", "load")
-    a = c.join(load, "cell")
-    mask = comp.access_mask(F.lit(0.0), 1 - F.col("s_quiet"), F.lit(0.1), F.lit(0.0))
-    shares = {"forest": F.col("s_green"), "grass": F.col("s_green") * 0.5, "lake": (F.col("cell") % 9) / 18.0, "heath": F.col("s_quiet") * 0.2}
-    q = a.select("cell", *[comp.nature_quality(shares[t], half, p, mask, F.lit(20.0) if t != "lake" else None, F.lit(1.0), comp.crowding(F.col("load"))).alias(t) for t, (_, half, p) in comp.NATURE.items()])
-    near = kn.disk_weighted_max(q, g, list(comp.NATURE), 12, 6.0 * kn.SCALE)
-    score = comp.nature_score([(F.col(t), w) for t, (w, _, _) in comp.NATURE.items()], F.lit(0.1), F.lit(0.2))
-    return near.select("cell", F.round(score, 6).alias("nature"))
-
-
 def composite_rank(spark: SparkSession, sf: str) -> DataFrame:
     """The hundred best cells by a weighted geometric mean of green, quiet and commute."""
     best = _reach(spark, sf).groupBy("cell").agg(*[F.min(F.when(F.col("mode") == m, F.col("minutes"))).alias(m) for m in ("bike", "car")])
@@ -302,7 +287,7 @@ def palette_levels(spark: SparkSession, sf: str) -> DataFrame:
 
 FUNCTIONS = (
     tau_sweep, palette_levels, direct_reach, door_to_door, gravity_reach, point_reach, mbo_field, city_weighted_percentile, weighted_median_rent, kreis_noisy_or, sector_lq, allocated_mass, flood_eas,
-    vacancy_score, climate_score, quantise_roundtrip, geocode_cascade, classify_rules, school_tracks, twin_recovery, assemble_scores, nature_layer, composite_rank, score_cdf,
+    vacancy_score, climate_score, quantise_roundtrip, geocode_cascade, classify_rules, school_tracks, twin_recovery, assemble_scores, composite_rank, score_cdf,
     access_modes, content_changed, mode_pivot,
 )
 

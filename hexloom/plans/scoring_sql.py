@@ -153,20 +153,6 @@ def _assemble() -> str:
       round(CASE WHEN vacancy_pct IS NULL THEN 1e0 ELSE {clip("1 - (vacancy_pct - 5) / 13")} END, 6) AS vacancy, coalesce(population >= 15, inhabited, false) AS inhabited FROM a"""
 
 
-def _nature() -> str:
-    mask = "(1 - 38e-2 * greatest(1 - s_quiet, 1e-1, 0e0))"
-    shares = {"forest": "s_green", "grass": "s_green * 5e-1", "lake": "(cell % 9 / 18e0)", "heath": "s_quiet * 2e-1"}
-    amp = f"(1 + 55e-2 * {clip('pow(20e0 / 50, 7e-1)')})"
-    q = ", ".join(f"{clip(f'greatest(0e0, {shares[t]} * {mask}) / (greatest(0e0, {shares[t]} * {mask}) + {e(half)})' + (f' * {amp}' if t != 'lake' else '') + ' * (1 - 58e-2 * load / (load + 540000e0))')} AS {t}" for t, (_, half, _) in comp.NATURE.items())
-    near = ", ".join(f"max({t} * {_W0(6.0 * kn.SCALE)}) FILTER ({t} > 0) AS {t}" for t in comp.NATURE)
-    c = [f"{e(w)} * coalesce(n.{t}, 0e0)" for t, (w, _, _) in comp.NATURE.items()]
-    return f"""WITH {inp.CELLS}, lo AS (SELECT cell, sum(population * {_W(6.0 * kn.SCALE)}) FILTER (population > 0) AS load FROM {inp.disk("c", 12, "population")} GROUP BY cell),
-      j AS (SELECT c.*, coalesce(load, 0e0) AS load FROM c JOIN grid USING (cell) LEFT JOIN lo USING (cell)), q AS (SELECT cell, {q} FROM j), n AS (SELECT cell, {near} FROM {inp.disk("q", 12, ", ".join(comp.NATURE))} GROUP BY cell),
-      b AS (SELECT grid.cell, greatest({", ".join(c)}) AS best, {" * ".join(f"(1 - 35e-2 * ({x}))" for x in c)} AS rest FROM grid LEFT JOIN n USING (cell)),
-      s AS (SELECT cell, 1 - (1 - (1 - (1 - best) * rest / (1 - 35e-2 * best))) * (1 - (3e-1 * 1e-1 + 12e-2 * 2e-1)) AS base FROM b)
-      SELECT cell, round(pow({clip("(base - 36e-2) / 54e-2")}, 14e-1), 6) AS nature FROM s"""
-
-
 _SUB = lambda m, pen: f"(CASE WHEN {m} IS NULL OR {m} >= 120 THEN 0e0 ELSE pow({clip(f'(60 - {m} * {pen}) / 55e0')}, 15e-1) END)"
 _RANK = f"""WITH {REACH}, {inp.CELLS}, b AS (SELECT cell, min(minutes) FILTER (mode = 'bike') AS bike, least(min(minutes) FILTER (mode = 'car') * 13e-1 + 6, 120e0) AS car0, min(minutes) FILTER (mode = 'car') AS car1 FROM re GROUP BY cell),
   s AS (SELECT cell, s_green, s_quiet, {_SUB("bike", "1e0")} AS a, CASE WHEN car1 IS NULL THEN 0e0 ELSE {_SUB("car0", "11e-1")} END AS c_ FROM c JOIN b USING (cell) WHERE inhabited),
@@ -210,7 +196,6 @@ def oracle_sql() -> dict[str, str]:
         "twin_recovery": f"""WITH j AS (SELECT lower(trim(name)) AS name, {sql.zip5("zip")} AS zip5, [x FOR x IN [{listed}] IF x IS NOT NULL] AS t FROM jedeschule WHERE name IS NOT NULL)
           SELECT name, zip5, coalesce(array_to_string(list_sort(list_distinct(flatten(list(t)))), ','), '') AS tracks, count(*) AS n FROM j WHERE zip5 IS NOT NULL GROUP BY name, zip5 HAVING count(*) > 1""",
         "assemble_scores": _assemble(),
-        "nature_layer": _nature(),
         "composite_rank": _RANK,
         "score_cdf": f"WITH {inp.CELLS}, b AS (SELECT CAST(round_even(round(s_green * 254, 6), 0) AS INT) AS code, sum(population) AS p FROM c WHERE population > 0 GROUP BY 1) SELECT code, round(sum(p) OVER (ORDER BY code) / sum(p) OVER (), 6) AS cdf FROM b",
         "access_modes": _ACCESS,

@@ -5,6 +5,9 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -38,11 +41,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that all executors share, from ``spark.checkpoint.dir``.
 
-    Where that is unset (tests, one machine) a temporary folder takes its place.
+    Where that is unset, a temporary folder takes its place if everything runs on one
+    machine; on a cluster, whose executors would each write to a disk of their own, it
+    raises ``RuntimeError``.
     """
     found = spark.conf.get("spark.checkpoint.dir", None)
     if found:
         return found.rstrip("/")
+    master = spark.conf.get("spark.master", "")
+    if not (master == "local" or master.startswith("local[")):
+        raise RuntimeError(f"set spark.checkpoint.dir to a folder that all executors share (master {master})")
     if not _own_dirs:
         _own_dirs.append(tempfile.mkdtemp(prefix="hexloom-"))
         atexit.register(_remove_own)
@@ -56,11 +64,15 @@ def _remove_own() -> None:
         shutil.rmtree(path, ignore_errors=True)
 
 
-def _remove_written(spark: SparkSession) -> None:
-    """Delete the tables of :func:`materialise` when the driver ends, as far as it still can."""
+def release(spark: SparkSession, since: int = 0) -> None:
+    """Delete the tables of :func:`materialise`, from number ``since`` on.
+
+    Results that read them must have been written or collected before.
+    """
     import shutil
 
-    for path in _written:
+    while len(_written) > since:
+        path = _written.pop()
         try:
             if path.startswith("file:") or ":" not in path:
                 shutil.rmtree(path.removeprefix("file://").removeprefix("file:"), ignore_errors=True)
@@ -72,11 +84,33 @@ def _remove_written(spark: SparkSession) -> None:
             return
 
 
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Intermediate tables written inside are deleted at the end, by when results that need
+    them must be written: ``with scratch(spark): query(spark, dir).write.parquet(out)``."""
+    since = len(_written)
+    try:
+        yield
+    finally:
+        release(spark, since)
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the workers of a cluster this package, where they don't have it installed."""
+    import shutil
+
+    home = Path(__file__).resolve().parent
+    base = Path(tempfile.mkdtemp(prefix="hexloom-ship-")) / home.name
+    atexit.register(shutil.rmtree, base.parent, ignore_errors=True)
+    spark.sparkContext.addPyFile(shutil.make_archive(str(base), "zip", home.parent, home.name))
+
+
 def materialise(df: DataFrame, partition_by: list[str] | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     This cuts lineage at the cost of one columnar write: a lost executor costs a
-    re-read, not a re-run of what came before, and the next plan sees real sizes.
+    re-read, not a re-run of what came before, and the next plan sees real sizes. Tables
+    stay until :func:`scratch` or :func:`release` deletes them, or the driver ends.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/hexloom/{uuid.uuid4().hex}"
@@ -84,7 +118,7 @@ def materialise(df: DataFrame, partition_by: list[str] | None = None) -> DataFra
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if not _written:
-        atexit.register(_remove_written, spark)
+        atexit.register(release, spark)
     _written.append(path)
     writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -3,7 +3,7 @@
 Values are taken as deviations from their group's mean. Each incomplete field is then
 regressed on the other fields and predictors over the rows where it is present, and the
 missing deviations are set to the prediction plus a residual drawn at the group's own
-spread; this goes round all fields until the coefficients stand still. All of it is linear in
+spread; this goes round all fields until they stand still. All of it is linear in
 what is observed and drawn, so one pass suffices: Spark adds up the cross products of
 observed values and draws for each pattern of missing fields (a handful of numbers reach
 the driver, whatever the table's size), the driver goes through the rounds on these sums
@@ -68,17 +68,20 @@ class _Chain:
         self.maps = {p: np.vstack([np.eye(n_x + n_y, n_x + 2 * n_y)]) for p in moments}
         self.rounds = 0
 
-    def run(self, tolerance: float = 1e-9, most: int = 500) -> None:
-        before = np.zeros((self.n_y, self.n_x + self.n_y))
+    def run(self, tolerance: float = 1e-9, most: int = 1000) -> None:
+        """Rounds over all fields until no row's values can change any more."""
         for self.rounds in range(1, most + 1):  # noqa: B007
-            now = np.stack([self._step(i) for i in range(self.n_y)]) if self.n_y else before
-            if np.abs(now - before).max(initial=0.0) <= tolerance * max(1.0, np.abs(now).max(initial=0.0)):
+            before = {p: form.copy() for p, form in self.maps.items()}
+            for i in range(self.n_y):
+                self._step(i)
+            moved = max((np.abs(form - before[p]).max(initial=0.0) for p, form in self.maps.items()), default=0.0)
+            largest = max((np.abs(form).max(initial=0.0) for form in self.maps.values()), default=0.0)
+            if moved <= tolerance * max(1.0, largest):
                 return
-            before = now
-        raise RuntimeError(f"coefficients still move after {most} rounds")
+        raise RuntimeError(f"values still move after {most} rounds")
 
-    def _step(self, i: int) -> np.ndarray:
-        """Regress field ``i`` and set its missing values; returns the coefficients."""
+    def _step(self, i: int) -> None:
+        """Regress field ``i`` and set its missing values."""
         at = self.n_x + i
         rest = [j for j in range(self.n_x + self.n_y) if j != at]
         total = np.zeros((self.n_x + self.n_y,) * 2)
@@ -86,13 +89,10 @@ class _Chain:
             if p[i] == 0:
                 total += self.maps[p] @ m @ self.maps[p].T
         beta, left = _regress(total, at, rest)
-        full = np.zeros(self.n_x + self.n_y)
-        full[rest] = beta
         for p, form in self.maps.items():
             if p[i] == 1:
                 form[at] = beta @ form[rest]
                 form[at, self.n_x + self.n_y + i] += math.sqrt(left) if self.residual else 0.0
-        return full
 
 
 def _regress(moments: np.ndarray, at: int, rest: list[int]) -> tuple[np.ndarray, float]:

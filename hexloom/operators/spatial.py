@@ -157,3 +157,37 @@ def feather(points: DataFrame, columns: list[str], sigma_m: float, radius_m: flo
     w = F.exp(-F.col("dist") * F.col("dist") / F.lit(2 * sigma_m**2))
     aggs = [(F.sum(F.col(c) * w) / F.nullif(F.sum(F.when(F.col(c).isNotNull(), w)), F.lit(0.0))).alias(c) for c in columns]
     return radius_join(own, other, radius_m).groupBy(key).agg(*aggs)
+
+
+def nearest_polygon(points: DataFrame, polygons: DataFrame, key: str, name: str, step_m: float, start_m: float) -> DataFrame:
+    """The polygon (column ``ring``) that contains each point, else the one whose edge is nearest:
+    key, ``name`` and ``dist`` (0 inside). Ties go to the smallest name.
+
+    Edges are looked up by samples at most ``step_m`` apart and measured exactly; the radius
+    grows as in :func:`nearest`, until every point has a polygon. Points without coordinates
+    drop out; without polygons the result is empty.
+    """
+    own = points.where(F.col("x").isNotNull() & F.col("y").isNotNull()).select(key, "x", "y")
+    shapes = polygons.select(F.col(name).alias("_name"), "ring").where(F.size("ring") >= 3)
+    inside = polygon_join(own, shapes, max(step_m, start_m)).groupBy(key).agg(F.min("_name").alias(name)).withColumn("dist", F.lit(0.0))
+    corner = F.posexplode("ring").alias("_i", "_a")
+    edges = shapes.select("_name", "ring", corner).select("_name", F.col("_a.x").alias("ax"), F.col("_a.y").alias("ay"), F.get("ring", (F.col("_i") + 1) % F.size("ring")).alias("_b")).select("_name", "ax", "ay", F.col("_b.x").alias("bx"), F.col("_b.y").alias("by"))
+    n = F.greatest(F.lit(1), F.ceil(_dist("ax", "ay", "bx", "by") / F.lit(step_m)).cast("int"))
+    cut = edges.withColumn("_n", n).withColumn("_k", F.explode(F.sequence(F.lit(0), F.col("_n"))))
+    at = F.col("_k") / F.col("_n")
+    samples = materialise(cut.select("_name", "ax", "ay", "bx", "by", (F.col("ax") + at * (F.col("bx") - F.col("ax"))).alias("x"), (F.col("ay") + at * (F.col("by") - F.col("ay"))).alias("y")))
+    done = materialise(inside)
+    todo = materialise(own.join(done, key, "left_anti"))
+    radius = start_m
+    while not todo.isEmpty() and not samples.isEmpty():
+        near = radius_join(samples, todo, radius + step_m / 2)
+        ux, uy = F.col("bx") - F.col("ax"), F.col("by") - F.col("ay")
+        t = F.greatest(F.lit(0.0), F.least(F.lit(1.0), ((F.col("rx") - F.col("ax")) * ux + (F.col("ry") - F.col("ay")) * uy) / F.nullif(ux * ux + uy * uy, F.lit(0.0))))
+        t = F.coalesce(t, F.lit(0.0))
+        dx, dy = F.col("rx") - F.col("ax") - t * ux, F.col("ry") - F.col("ay") - t * uy
+        exact = near.withColumn("_d", F.sqrt(dx * dx + dy * dy)).where(F.col("_d") <= radius)
+        found = materialise(exact.groupBy(key).agg(F.min(F.struct("_d", "_name")).alias("b")).select(key, F.col("b._name").alias(name), F.col("b._d").alias("dist")))
+        done = done.unionByName(found)
+        todo = materialise(todo.join(found, key, "left_anti"))
+        radius *= 4
+    return done

@@ -26,13 +26,18 @@ def grid_xy(spark: SparkSession, sf: str) -> DataFrame:
 
 def pois(spark: SparkSession, sf: str) -> DataFrame:
     """Objects once each, with their cell; invalid coordinates drop out."""
-    once = table(spark, sf, "pois").select("osm_id", "category", "subcategory", "name", "lat", "lon").dropDuplicates(["osm_id"])
-    return geo.with_cell(once, "lat", "lon", EDGE_M)
+    return geo.with_cell(objects(spark, sf), "lat", "lon", EDGE_M)
+
+
+def objects(spark: SparkSession, sf: str) -> DataFrame:
+    """Each object as delivered last."""
+    columns = ("category", "subcategory", "name", "lat", "lon")
+    last = F.max_by(F.struct(*columns), F.coalesce("loaded_at", F.lit("1970-01-01").cast("timestamp_ntz")))
+    return table(spark, sf, "pois").groupBy("osm_id").agg(last.alias("o")).select("osm_id", *[F.col(f"o.{c}").alias(c) for c in columns])
 
 
 def pois_xy(spark: SparkSession, sf: str) -> DataFrame:
-    once = table(spark, sf, "pois").select("osm_id", "category", "subcategory", "name", "lat", "lon").dropDuplicates(["osm_id"])
-    return geo.with_utm32(once.where(VALID), "lat", "lon")
+    return geo.with_utm32(objects(spark, sf).where(VALID), "lat", "lon")
 
 
 def cells(spark: SparkSession, sf: str) -> DataFrame:
@@ -77,7 +82,7 @@ HEXAGON = ((70000.0, 0.0), (35000.0, 60621.0), (-35000.0, 60621.0), (-70000.0, 0
 
 # --- SQL ---------------------------------------------------------------------------------
 
-ONCE = f"(SELECT DISTINCT ON (osm_id) osm_id, category, subcategory, name, lat, lon FROM pois WHERE {VALID})"
+ONCE = f"(SELECT DISTINCT ON (osm_id) osm_id, category, subcategory, name, lat, lon FROM pois WHERE {VALID} ORDER BY osm_id, loaded_at DESC NULLS LAST)"
 POIS = f"p AS (SELECT *, (q + 1048576) * 2097152 + r + 1048576 AS cell FROM ({sql.utm32_cells(ONCE, 'lat', 'lon', EDGE_M, 'osm_id, category, subcategory, name')}))"
 GRID_XY = f"g AS (SELECT cell, q, r, {sql.e(EDGE_M * geo.SQRT3)} * (q + r / 2e0) AS x, {sql.e(EDGE_M * 1.5)} * r AS y FROM grid)"
 CELLS = """c AS (SELECT cell, max(kreis) AS kreis, avg(population) FILTER (NOT isnan(population) AND population >= 0) AS population,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import geo, rules, shape
-from ..operators import iterate, kernels as kn, spatial, stats, streets, timetable, validate
+from ..operators import iterate, kernels as kn, ordering, spatial, stats, streets, timetable, validate
 from ..session import table
 from . import inputs as inp, sql
 
@@ -168,8 +168,10 @@ def street_grain(spark: SparkSession, sf: str) -> DataFrame:
     """Disorder, turning and grain of ways made of each customer's orders."""
     lon, lat = inp.key_point("o_orderkey")
     pts = table(spark, sf, "orders").select(F.col("o_custkey").alias("way"), F.col("o_orderkey").alias("seq"), lon.alias("lon"), lat.alias("lat"))
-    seg = geo.with_cell(streets.way_segments(pts), "lat", "lon", inp.EDGE_M).select("cell", "metres", "bearing", "turn")
-    return streets.grain(seg, inp.grid(spark, sf)).select("cell", _r("disorder"), _r("turn", 4), _r("grain"))
+    seg = streets.way_segments(pts)
+    middles = geo.with_cell(seg.select("mid_lat", "mid_lon", "metres", "bearing"), "mid_lat", "mid_lon", inp.EDGE_M)
+    vertices = geo.with_cell(seg.where("turn is not null").select("lat", "lon", "turn"), "lat", "lon", inp.EDGE_M)
+    return streets.grain(middles, vertices, inp.grid(spark, sf)).select("cell", _r("disorder"), _r("turn", 4), _r("grain"))
 
 
 def centers_nms(spark: SparkSession, sf: str) -> DataFrame:
@@ -183,6 +185,19 @@ def city_clusters(spark: SparkSession, sf: str) -> DataFrame:
     return iterate.city_groups(inp.centres(spark, sf), "center", "name", "weight", 150_000.0)
 
 
+def center_regions(spark: SparkSession, sf: str) -> DataFrame:
+    """The region of each centre, the nearest one where none contains it."""
+    near = spatial.nearest_polygon(inp.centres(spark, sf), inp.regions(spark, sf), "center", "gen", 10_000.0, 50_000.0)
+    return near.select("center", "gen", F.round("dist", 3).alias("dist"))
+
+
+def remapped_stops(spark: SparkSession, sf: str) -> DataFrame:
+    """Departures by stop under the stops' numbers in another network."""
+    ev = table(spark, sf, "events").groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
+    other = ev.select("user_id", (F.col("user_id") * 7 + 3).alias("number"))
+    return ordering.remapped(ev, other, "user_id", "user_id", "number").select(F.col("user_id").alias("stop"), "n")
+
+
 def validate_rules(spark: SparkSession, sf: str) -> DataFrame:
     c = inp.cells(spark, sf)
     rules_ = [
@@ -204,7 +219,7 @@ def kreis_coverage(spark: SparkSession, sf: str) -> DataFrame:
 
 FUNCTIONS = (
     ent_density, population_catchment, disk_max_reach, gaussian_feather, kernel_shrink_rent, disk_mean_spread, dilated_water, repair_rounds, service_quality, point_cells,
-    nearest_facility, nearest_label, poly_assign, noise_energy, anti_gapfill, line_densify, street_grain, centers_nms, city_clusters, validate_rules, kreis_coverage,
+    nearest_facility, nearest_label, poly_assign, noise_energy, anti_gapfill, line_densify, street_grain, centers_nms, city_clusters, center_regions, remapped_stops, validate_rules, kreis_coverage,
 )
 
 
@@ -284,7 +299,7 @@ def _service() -> str:
       sv AS (SELECT i AS service_id FROM range(7) AS t(i) WHERE ((i + 2) % 3 > 0 OR i = 0) AND i <> 4),
       dp AS (SELECT cell, event_type AS route_id, CASE WHEN length(event_type) % 2 = 0 THEN 2e0 ELSE 1e0 END AS w FROM events JOIN st ON user_id = stop_id WHERE event_id % 7 IN (SELECT service_id FROM sv)),
       n AS (SELECT cell, count(*) AS n FROM dp GROUP BY cell),
-      a AS (SELECT cell, sum(n * {_W(7.0)}) AS departures FROM {inp.disk("n", 1, "n")} GROUP BY cell),
+      a AS (SELECT cell, CAST(sum(n) AS DOUBLE) AS departures FROM {inp.disk("n", 1, "n")} GROUP BY cell),
       r0 AS (SELECT DISTINCT cell, route_id, w FROM dp), r1 AS (SELECT DISTINCT cell, route_id, w FROM {inp.disk("r0", 1, "route_id, w")}),
       b AS (SELECT cell, sum(w) AS routes FROM r1 GROUP BY cell),
       o AS (SELECT grid.cell, coalesce(departures, 0e0) AS departures, coalesce(routes, 0e0) AS routes FROM grid LEFT JOIN a USING (cell) LEFT JOIN b USING (cell))
@@ -326,23 +341,30 @@ _DENSIFY = f"""WITH o AS ({_ORDERS}), s0 AS (SELECT way, seq, x, y, lead(x) OVER
 
 
 def _grain() -> str:
-    eq = f"{e(geo.EARTH_M)} * sqrt(pow(radians(lon2 - lon) * cos(radians((lat + lat2) / 2)), 2) + pow(radians(lat2 - lat), 2))"
+    hav = sql.haversine("lat", "lon", "lat2", "lon2")
     brg = "degrees(atan2(sin(radians(lon2 - lon)) * cos(radians(lat2)), cos(radians(lat)) * sin(radians(lat2)) - sin(radians(lat)) * cos(radians(lat2)) * cos(radians(lon2 - lon))))"
+    mids = sql.utm32_cells("m0", "lat", "lon", inp.EDGE_M, "metres, bearing")
     return f"""WITH o AS (SELECT *, (q + 1048576) * 2097152 + r + 1048576 AS cell FROM ({_ORDERS})),
       s0 AS (SELECT *, lead(lat) OVER w AS lat2, lead(lon) OVER w AS lon2 FROM o WINDOW w AS (PARTITION BY way ORDER BY seq)),
-      s1 AS (SELECT cell, way, seq, {eq} AS metres, {brg} AS b0 FROM s0 WHERE lat2 IS NOT NULL),
+      s1 AS (SELECT cell, way, seq, lat, lon, lat2, lon2, {hav} AS metres, {brg} AS b0 FROM s0 WHERE lat2 IS NOT NULL),
       s2 AS (SELECT *, CASE WHEN metres > 0 THEN CASE WHEN b0 < 0 THEN b0 + 360 ELSE b0 END END AS bearing FROM s1),
       s3 AS (SELECT *, bearing - lag(bearing) OVER (PARTITION BY way ORDER BY seq) + 180 AS t FROM s2),
       s AS (SELECT *, abs(t - 360 * floor(t / 360) - 180) AS turn FROM s3),
-      b AS (SELECT cell, CAST(floor(v / 10) AS BIGINT) % 36 AS bin, sum(metres) AS m FROM (SELECT cell, metres, unnest([bearing, bearing + 180]) AS v FROM s WHERE metres > 0) GROUP BY ALL),
+      m0 AS (SELECT (lat + lat2) / 2 AS lat, (lon + lon2) / 2 AS lon, metres, bearing FROM s), m1 AS (SELECT *, (q + 1048576) * 2097152 + r + 1048576 AS cell FROM ({mids})),
+      b AS (SELECT cell, CAST(floor(v / 10) AS BIGINT) % 36 AS bin, sum(metres) AS m FROM (SELECT cell, metres, unnest([bearing, bearing + 180]) AS v FROM m1 WHERE metres > 0) GROUP BY ALL),
       d AS (SELECT cell, bin, sum(m) AS m FROM {inp.disk("b", 1, "bin, m")} GROUP BY cell, bin),
       h AS (SELECT cell, total, -sum(m / total * ln(m / total)) / ln(36e0) AS disorder FROM (SELECT *, sum(m) OVER (PARTITION BY cell) AS total FROM d) GROUP BY cell, total),
-      t0 AS (SELECT cell, sum(turn * metres) AS a, sum(metres) AS b FROM s WHERE turn IS NOT NULL GROUP BY cell),
-      t1 AS (SELECT cell, sum(a) / nullif(sum(b), 0e0) AS turn FROM {inp.disk("t0", 1, "a, b")} GROUP BY cell)
-      SELECT grid.cell, round(disorder, 6) AS disorder, round(turn, 4) AS turn, round(CASE WHEN total >= 4000 THEN greatest(0e0, least(1e0, (disorder - 88e-2) / 10e-2)) * (25e-2 + 75e-2 * greatest(0e0, least(1e0, (coalesce(turn, 0e0) - 5) / 3))) ELSE 0e0 END, 6) AS grain
+      t0 AS (SELECT cell, sum(turn) AS a, count(turn) AS b FROM s WHERE turn IS NOT NULL GROUP BY cell),
+      t1 AS (SELECT cell, sum(a) / sum(b) AS turn FROM {inp.disk("t0", 1, "a, b")} GROUP BY cell)
+      SELECT grid.cell, round(disorder, 6) AS disorder, round(coalesce(turn, 0e0), 4) AS turn, round(CASE WHEN total >= 4000 THEN greatest(0e0, least(1e0, (disorder - 88e-2) / 10e-2)) * (25e-2 + 75e-2 * greatest(0e0, least(1e0, (coalesce(turn, 0e0) - 5) / 3))) ELSE 0e0 END, 6) AS grain
       FROM grid LEFT JOIN h USING (cell) LEFT JOIN t1 USING (cell)"""
 
 
+_NEAREST_REGION = f"""WITH {inp.CENTRES}, {inp.REGIONS},
+  h AS (SELECT center, min(gen) AS gen FROM (SELECT center, ags, gen FROM z, edges WHERE (y1 > y) <> (y2 > y) AND x < (x2 - x1) * (y - y1) / (y2 - y1) + x1 GROUP BY ALL HAVING count(*) % 2 = 1) GROUP BY center),
+  t AS (SELECT center, gen, x, y, x1, y1, x2 - x1 AS ux, y2 - y1 AS uy, greatest(0e0, least(1e0, ((x - x1) * (x2 - x1) + (y - y1) * (y2 - y1)) / (pow(x2 - x1, 2) + pow(y2 - y1, 2)))) AS s FROM z, edges),
+  d AS (SELECT center, arg_min(gen, (sqrt(pow(x - x1 - s * ux, 2) + pow(y - y1 - s * uy, 2)), gen)) AS gen, min(sqrt(pow(x - x1 - s * ux, 2) + pow(y - y1 - s * uy, 2))) AS d FROM t GROUP BY center)
+  SELECT center, coalesce(h.gen, d.gen) AS gen, CASE WHEN h.gen IS NULL THEN round(d, 3) ELSE 0e0 END AS dist FROM d LEFT JOIN h USING (center)"""
 _CLUSTERS = f"""WITH RECURSIVE {inp.CENTRES}, l AS (SELECT a.center AS a, b.center AS b FROM z a JOIN z b ON a.name = b.name AND sqrt(pow(a.x - b.x, 2) + pow(a.y - b.y, 2)) <= 150000),
   w(a, b) AS (SELECT center, center FROM z UNION SELECT w.a, l.b FROM w JOIN l ON w.b = l.a),
   k AS (SELECT a AS center, min(b) AS city FROM w GROUP BY a),
@@ -376,6 +398,8 @@ def oracle_sql() -> dict[str, str]:
         "line_densify": _DENSIFY,
         "street_grain": _grain(),
         "city_clusters": _CLUSTERS,
+        "center_regions": _NEAREST_REGION,
+        "remapped_stops": "SELECT user_id * 7 + 3 AS stop, count(*) AS n FROM events GROUP BY user_id",
         "validate_rules": _RULES,
         "kreis_coverage": _COVER,
     }

@@ -59,10 +59,10 @@ def p3_heldout(spark: SparkSession, sf: str) -> DataFrame:
     filled = [impute.impute_numeric(hidden, "score_id", ["kreis", "run_no"], fields, PREDICTORS, residual=r).select("score_id", *[F.col(f.name).alias(f"{n}{i}") for i, f in enumerate(fields)]) for r, n in ((True, "drawn"), (False, "plain"))]
     means = hidden.groupBy("kreis", "run_no").agg(*[F.avg(f.name).alias(f"m{i}") for i, f in enumerate(fields)])
     both = true.join(means, ["kreis", "run_no"]).join(filled[0], "score_id").join(filled[1], "score_id")
-    each = F.explode(F.array(*[F.struct(F.lit(f.name).alias("fld"), *[F.col(f"{c}{i}").alias(n) for c, n in (("t", "true"), ("m", "mean"), ("drawn", "drawn"), ("plain", "plain"))]) for i, f in enumerate(fields)]))
-    rows = both.select(each.alias("e")).select("e.*").where("true is not null and mean is not null")
-    rmse = lambda c: F.sqrt(F.avg(F.pow(F.col(c) - F.col("true"), 2)))
-    spread = F.stddev_samp("drawn") / F.stddev_samp("true")
+    each = F.explode(F.array(*[F.struct(F.lit(f.name).alias("fld"), *[F.col(f"{c}{i}").alias(n) for c, n in (("t", "actual"), ("m", "mean"), ("drawn", "drawn"), ("plain", "plain"))]) for i, f in enumerate(fields)]))
+    rows = both.select(each.alias("e")).select("e.*").where("actual is not null and mean is not null")
+    rmse = lambda c: F.sqrt(F.avg(F.pow(F.col(c) - F.col("actual"), 2)))
+    spread = F.stddev_samp("drawn") / F.stddev_samp("actual")
     return rows.groupBy("fld").agg(F.count(F.lit(1)).alias("hidden"), F.round(rmse("mean"), 4).alias("rmse_mean"), (rmse("plain") <= rmse("mean") * 1.01).alias("near"), spread.between(0.85, 1.15).alias("spreads"))
 
 

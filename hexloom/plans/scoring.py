@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ..functions import composites as comp, geo, rules, shape, text
-from ..operators import geocode as gc, reach as rc, spatial, stats
+from ..operators import geocode as gc, iterate, ordering, reach as rc, spatial, stats
 from ..session import table
 from ..sources import export
 from . import inputs as inp, sql
@@ -20,7 +20,7 @@ def _r(name: str, n: int = 6):
 
 
 def _reach(spark: SparkSession, sf: str) -> DataFrame:
-    return rc.direct(inp.centres(spark, sf), inp.grid_xy(spark, sf), SPEEDS, 60_000.0)
+    return rc.direct(inp.centres(spark, sf), inp.grid_xy(spark, sf), SPEEDS)
 
 
 def direct_reach(spark: SparkSession, sf: str) -> DataFrame:
@@ -34,7 +34,7 @@ def door_to_door(spark: SparkSession, sf: str) -> DataFrame:
     with direct rides by bike folded in."""
     lon, lat = inp.key_point("c_custkey")
     stops = geo.with_utm32(table(spark, sf, "customer").select(F.col("c_custkey").alias("stop"), lon.alias("lon"), lat.alias("lat")), "lat", "lon").select("stop", "x", "y")
-    near = spatial.radius_join(inp.centres(spark, sf).select("center", "x", "y"), stops, 80_000.0)
+    near = spatial.radius_join(inp.centres(spark, sf).select("center", "x", "y"), stops, rc.HORIZON * 1000.0)
     wait = (F.col("center") * 7 + F.col("stop") * 13 + F.col("iter") * 29) % 17
     arrivals = near.withColumn("iter", F.explode(F.sequence(F.lit(0), F.lit(4)))).where((F.col("center") + F.col("stop") + F.col("iter")) % 11 > 0)
     arrivals = arrivals.select("center", "stop", "iter", (F.col("dist") / 1000 + wait).alias("minutes"))
@@ -57,7 +57,7 @@ def gravity_reach(spark: SparkSession, sf: str) -> DataFrame:
 
 def point_reach(spark: SparkSession, sf: str) -> DataFrame:
     """Nearest centre and how much more there is, by mode."""
-    g = rc.gravity_and_nearest(_reach(spark, sf), inp.centres(spark, sf).select("center", F.lit(1.0).alias("mass")), 15.0)
+    g = rc.gravity_and_nearest(_reach(spark, sf), inp.centres(spark, sf).select("center", F.lit(1.0).alias("mass")))
     return g.select("cell", "mode", _r("raw"), F.round("tmin", 4).alias("tmin"), F.round(shape.point_reach(F.col("tmin"), F.col("raw")), 6).alias("reach"))
 
 
@@ -65,14 +65,26 @@ def mbo_field(spark: SparkSession, sf: str) -> DataFrame:
     """Minutes, best and overall opportunity codes of each cell and mode."""
     cs = inp.centres(spark, sf)
     opp = cs.select("center", shape.clip01(F.col("weight") / 12_000).alias("opp"))
-    native = cs.groupBy("cell").agg(F.max(shape.clip01(F.col("weight") / 20_000)).alias("native"))
-    return rc.mbo(_reach(spark, sf), opp, native)
+    native = cs.groupBy("cell").agg(F.max(shape.clip01(F.col("weight") / 20_000)).alias("native")).join(inp.grid(spark, sf), "cell", "left_semi")
+    return rc.mbo(_reach(spark, sf), opp, native, list(SPEEDS))
 
 
 def city_weighted_percentile(spark: SparkSession, sf: str) -> DataFrame:
-    """Weighted median over a city's centres of the minutes to each cell."""
-    out = rc.city_minutes(_reach(spark, sf), inp.centres(spark, sf), "name", "weight")
-    return out.select("name", "cell", "mode", F.round("minutes", 4).alias("minutes"))
+    """Weighted median over a city's centres of the minutes to each cell, as codes up to 254;
+    centres of one name are one city if they are linked within 50 km."""
+    centres = inp.centres(spark, sf)
+    cities = iterate.city_groups(centres, "center", "name", "weight", 50_000.0)
+    out = rc.city_minutes(_reach(spark, sf), centres.join(cities.select("center", "city"), "center"), "city", "weight")
+    return out.select("city", "cell", "mode", F.least(F.lit(254), F.rint(F.round("minutes", 6)).cast("int")).alias("code"))
+
+
+def city_parts(spark: SparkSession, sf: str) -> DataFrame:
+    """The centres of cities that have several, each a target of its own with a unique label."""
+    centres = inp.centres(spark, sf)
+    cities = iterate.city_groups(centres, "center", "name", "weight", 50_000.0)
+    many = cities.groupBy("city").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("city")
+    parts = cities.join(many, "city", "left_semi").join(centres.select("center", "weight"), "center")
+    return ordering.numbered(parts.select("center", "city", ordering.slug(F.col("label")).alias("part"), F.round("weight", 4).alias("weight")), "part", "center")
 
 
 def weighted_median_rent(spark: SparkSession, sf: str) -> DataFrame:
@@ -117,11 +129,11 @@ def _flood(spark: SparkSession, sf: str) -> DataFrame:
 
 def flood_eas(spark: SparkSession, sf: str) -> DataFrame:
     """Expected yearly severity, score and first return period from depths of pixels."""
-    px = 4.0e6
+    px = F.lit(4.0e6) * F.cos(F.radians("lat"))  # pixels narrow towards the pole
     depth = lambda i: F.greatest(F.lit(0.0), F.col("p_size") / 10 + 0.4 * i - F.col("p_partkey") % 7)
     sums = []
     for i, rp in enumerate(comp.RETURN_PERIODS):
-        wet = F.when(depth(i) > 0, F.lit(px))
+        wet = F.when(depth(i) > 0, px)
         sums += [F.sum(wet).alias(f"a{rp}"), F.sum(wet * depth(i)).alias(f"d{rp}")]
     g = _flood(spark, sf).groupBy("cell").agg(*sums)
     sev = [comp.flood_severity(F.col(f"a{rp}"), F.col(f"d{rp}"), CELL_AREA) for rp in comp.RETURN_PERIODS]
@@ -180,7 +192,7 @@ def geocode_cascade(spark: SparkSession, sf: str) -> DataFrame:
 
 def classify_rules(spark: SparkSession, sf: str) -> DataFrame:
     """Objects, with tags made of their columns, through the rule tables."""
-    p = table(spark, sf, "pois").dropDuplicates(["osm_id"])
+    p = inp.objects(spark, sf)
     key = F.when(F.col("category") == "grocery", "shop").when(F.col("category") == "leisure", "leisure").when(F.col("category") == "nature", "tourism").otherwise("amenity")
     sub = F.when(F.col("category") == "school", "school").otherwise(F.coalesce("subcategory", F.lit("none")))
     tags = F.map_from_arrays(F.array(key, F.lit("name")), F.array(sub, F.coalesce("name", F.lit(""))))
@@ -190,7 +202,7 @@ def classify_rules(spark: SparkSession, sf: str) -> DataFrame:
 
 def school_tracks(spark: SparkSession, sf: str) -> DataFrame:
     """Schools of each origin that lead to each track."""
-    reg, osm = table(spark, sf, "jedeschule"), table(spark, sf, "pois").where("category = 'school'").dropDuplicates(["osm_id"])
+    reg, osm = table(spark, sf, "jedeschule"), inp.objects(spark, sf).where("category = 'school'")
     a = reg.agg(*[F.count_if(rules.register_track(F.col("school_type"), t)).alias(t) for t in rules.REGISTER_TRACKS]).withColumn("origin", F.lit("register"))
     b = osm.agg(*[F.count_if(rules.map_track(F.col("subcategory"), t)).alias(t) for t in rules.MAP_TRACKS]).withColumn("origin", F.lit("map"))
     return a.unionByName(b)
@@ -251,11 +263,15 @@ def access_modes(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def content_changed(spark: SparkSession, sf: str) -> DataFrame:
-    """Rows by which two builds of the cell table differ, counted in both directions."""
-    s = table(spark, sf, "scores")
-    one = s.where("run_no = 0").select("cell", "inhabited")
-    last = s.where(F.col("run_no") == 1).select("cell", "inhabited")
-    return one.exceptAll(last).select(F.lit("gone").alias("side"), "inhabited").unionByName(last.exceptAll(one).select(F.lit("new").alias("side"), "inhabited")).groupBy("side", "inhabited").agg(F.count(F.lit(1)).alias("n"))
+    """Rows by which each build of the cell table differs from the one before, counted in both
+    directions."""
+    s = table(spark, sf, "scores").select("run_no", "cell", "inhabited")
+    runs = s.select("run_no").distinct()
+    before = s.withColumn("run_no", F.col("run_no") + 1).join(runs, "run_no", "left_semi")
+    after = s.join(runs.withColumn("run_no", F.col("run_no") + 1), "run_no", "left_semi")
+    gone = before.exceptAll(after).withColumn("side", F.lit("gone"))
+    new = after.exceptAll(before).withColumn("side", F.lit("new"))
+    return gone.unionByName(new).groupBy("run_no", "side", "inhabited").agg(F.count(F.lit(1)).alias("n"))
 
 
 def mode_pivot(spark: SparkSession, sf: str) -> DataFrame:
@@ -286,7 +302,7 @@ def palette_levels(spark: SparkSession, sf: str) -> DataFrame:
 
 
 FUNCTIONS = (
-    tau_sweep, palette_levels, direct_reach, door_to_door, gravity_reach, point_reach, mbo_field, city_weighted_percentile, weighted_median_rent, kreis_noisy_or, sector_lq, allocated_mass, flood_eas,
+    tau_sweep, palette_levels, direct_reach, door_to_door, gravity_reach, point_reach, mbo_field, city_weighted_percentile, city_parts, weighted_median_rent, kreis_noisy_or, sector_lq, allocated_mass, flood_eas,
     vacancy_score, climate_score, quantise_roundtrip, geocode_cascade, classify_rules, school_tracks, twin_recovery, assemble_scores, composite_rank, score_cdf,
     access_modes, content_changed, mode_pivot,
 )

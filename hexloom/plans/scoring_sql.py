@@ -17,8 +17,8 @@ def clip(x: str) -> str:
 
 _MODES = ", ".join(f"('{m}', {e(60 * 1.3 / (v * 1000))})" for m, v in SPEEDS.items())
 REACH = f"""{inp.CENTRES}, {inp.GRID_XY},
-  r0 AS (SELECT center, g.cell, sqrt(pow(z.x - g.x, 2) + pow(z.y - g.y, 2)) AS d FROM z, g WHERE abs(z.x - g.x) <= 60000 AND abs(z.y - g.y) <= 60000),
-  re AS (SELECT center, cell, mode, d * per AS minutes FROM r0, (VALUES {_MODES}) AS v(mode, per) WHERE d <= 60000 AND d * per <= 120)"""
+  r0 AS (SELECT center, g.cell, sqrt(pow(z.x - g.x, 2) + pow(z.y - g.y, 2)) AS d FROM z, g WHERE abs(z.x - g.x) <= 92310 AND abs(z.y - g.y) <= 92310),
+  re AS (SELECT center, cell, mode, d * per AS minutes FROM r0, (VALUES {_MODES}) AS v(mode, per) WHERE d * per <= 120)"""
 _CAR = "least(minutes * 13e-1 + 6e0, 120e0)"
 _POINT_DECAY = f"exp(-pow(greatest(0e0, minutes - {e(shape.POINT_T0)}) / {e(shape.POINT_SIGMA)}, {e(shape.POINT_POWER)}))"
 
@@ -27,7 +27,7 @@ def _door() -> str:
     stops = sql.utm32_cells(inp.key_source("customer", "c_custkey", "c_custkey AS stop"), "lat", "lon", inp.EDGE_M, "stop")
     return f"""WITH {REACH}, s AS ({stops}),
       a AS (SELECT center, stop, iter, d / 1000 + (center * 7 + stop * 13 + iter * 29) % 17 AS m FROM
-        (SELECT center, stop, sqrt(pow(z.x - s.x, 2) + pow(z.y - s.y, 2)) AS d FROM z, s WHERE abs(z.x - s.x) <= 80000 AND abs(z.y - s.y) <= 80000), range(5) AS t(iter) WHERE d <= 80000 AND (center + stop + iter) % 11 > 0),
+        (SELECT center, stop, sqrt(pow(z.x - s.x, 2) + pow(z.y - s.y, 2)) AS d FROM z, s WHERE abs(z.x - s.x) <= 120000 AND abs(z.y - s.y) <= 120000), range(5) AS t(iter) WHERE d <= 120000 AND (center + stop + iter) % 11 > 0),
       w AS (SELECT stop, cell, d * 60 * 13e-1 / 18000e0 AS eg FROM (SELECT stop, g.cell, sqrt(pow(s.x - g.x, 2) + pow(s.y - g.y, 2)) AS d FROM s, g WHERE abs(s.x - g.x) <= 8000 AND abs(s.y - g.y) <= 8000) WHERE d <= 8000 AND d * 60 * 13e-1 / 18000e0 <= 30),
       i AS (SELECT center, cell, iter, min(m + eg) AS t FROM a JOIN w USING (stop) GROUP BY ALL),
       t AS (SELECT center, cell, list_sort(list(t))[3] AS minutes FROM i GROUP BY ALL),
@@ -37,25 +37,30 @@ def _door() -> str:
 
 _MBO = f"""WITH {REACH}, te AS (SELECT re.cell, mode, center, minutes AS t, {clip("least(1e0, weight / 12000) * " + clip("(120e0 - minutes) / 120e0"))} AS term FROM re JOIN z USING (center)),
   ag AS (SELECT cell, mode, CASE WHEN max(term) >= 1 THEN 0e0 ELSE exp(sum(ln(1 - term))) END AS rest, max((term, -t)) FILTER (term > 0 AND t <= 25) AS w, min((t, -term)) FILTER (term > 0) AS n FROM te GROUP BY cell, mode),
-  na AS (SELECT z.cell, max({clip("weight / 20000")}) AS own FROM z GROUP BY z.cell),
-  b AS (SELECT cell, mode, rest, coalesce(own, 0e0) AS own, CASE WHEN w IS NOT NULL THEN w[1] WHEN n IS NOT NULL AND n[1] < 120 THEN -n[2] ELSE 0e0 END AS b, CASE WHEN w IS NOT NULL THEN -w[2] WHEN n IS NOT NULL AND n[1] < 120 THEN n[1] ELSE 120e0 END AS m0 FROM ag LEFT JOIN na USING (cell)),
+  na AS (SELECT z.cell, mode, max({clip("weight / 20000")}) AS own FROM z JOIN grid ON z.cell = grid.cell, (VALUES ('walk'), ('bike'), ('car')) AS v(mode) GROUP BY z.cell, mode),
+  b AS (SELECT cell, mode, coalesce(rest, 1e0) AS rest, coalesce(own, 0e0) AS own, CASE WHEN w IS NOT NULL THEN w[1] WHEN n IS NOT NULL AND n[1] < 120 THEN -n[2] ELSE 0e0 END AS b, CASE WHEN w IS NOT NULL THEN -w[2] WHEN n IS NOT NULL AND n[1] < 120 THEN n[1] ELSE 120e0 END AS m0 FROM ag FULL JOIN na USING (cell, mode)),
   m AS (SELECT *, CASE WHEN own >= b AND own > 0 THEN 0e0 ELSE m0 END AS m FROM b)
   SELECT cell, mode, CAST(least(254, round_even(round(m, 6), 0)) AS INT) AS m, CAST(least(254, round_even(round(254 * greatest(b, own), 6), 0)) AS INT) AS b, CAST(least(254, round_even(round(254 * (1 - (1 - own) * rest), 6), 0)) AS INT) AS o FROM m WHERE m < 120 OR own > 0"""
-_CITY = f"""WITH {REACH}, met AS (SELECT DISTINCT name, re.cell, mode FROM re JOIN z USING (center)),
-  f AS (SELECT met.name, met.cell, met.mode, z.weight, z.center, coalesce(re.minutes, 120e0) AS minutes FROM met JOIN z ON met.name = z.name LEFT JOIN re ON re.center = z.center AND re.cell = met.cell AND re.mode = met.mode),
-  c AS (SELECT *, sum(weight) OVER (PARTITION BY name, cell, mode ORDER BY minutes, center ROWS UNBOUNDED PRECEDING) AS run, sum(weight) OVER (PARTITION BY name, cell, mode) AS total FROM f)
-  SELECT name, cell, mode, round(min(minutes), 4) AS minutes FROM c WHERE run >= 5e-1 * total - 1e-9 GROUP BY ALL"""
+_LINKS = """l AS (SELECT a.center AS a, b.center AS b FROM z a JOIN z b ON a.name = b.name AND sqrt(pow(a.x - b.x, 2) + pow(a.y - b.y, 2)) <= 50000),
+  w(a, b) AS (SELECT center, center FROM z UNION SELECT w.a, l.b FROM w JOIN l ON w.b = l.a), ci AS (SELECT a AS center, min(b) AS city FROM w GROUP BY a)"""
+_CITY = f"""WITH RECURSIVE {REACH}, {_LINKS}, met AS (SELECT DISTINCT city, re.cell, mode FROM re JOIN ci USING (center)),
+  f AS (SELECT met.city, met.cell, met.mode, z.weight, z.center, coalesce(re.minutes, 120e0) AS minutes FROM met JOIN ci ON met.city = ci.city JOIN z ON z.center = ci.center LEFT JOIN re ON re.center = z.center AND re.cell = met.cell AND re.mode = met.mode),
+  c AS (SELECT *, sum(weight) OVER (PARTITION BY city, cell, mode ORDER BY minutes, center ROWS UNBOUNDED PRECEDING) AS run, sum(weight) OVER (PARTITION BY city, cell, mode) AS total FROM f)
+  SELECT city, cell, mode, CAST(least(254, round_even(round(min(minutes), 6), 0)) AS INT) AS code FROM c WHERE run >= 5e-1 * total - 1e-9 GROUP BY ALL"""
+_PARTS = f"""WITH RECURSIVE {inp.CENTRES}, {_LINKS}, t AS (SELECT city, name, row_number() OVER (PARTITION BY name ORDER BY sum(weight) DESC, city) AS n FROM ci JOIN z USING (center) GROUP BY city, name),
+  m AS (SELECT city FROM ci GROUP BY city HAVING count(*) > 1), p AS (SELECT center, city, CASE WHEN n = 1 THEN lower(z.name) ELSE lower(z.name) || '-' || n END AS slug, weight FROM ci JOIN z USING (center) JOIN t USING (city) JOIN m USING (city)),
+  k AS (SELECT *, row_number() OVER (PARTITION BY slug ORDER BY center) AS k FROM p) SELECT center, city, CASE WHEN k = 1 THEN slug ELSE slug || '-' || k END AS part, round(weight, 4) AS weight FROM k"""
 
 
 def _flood() -> str:
-    src = sql.utm32_cells(inp.key_source("part", "p_partkey", "p_partkey, p_size"), "lat", "lon", inp.EDGE_M, "p_partkey, p_size")
+    src = sql.utm32_cells(inp.key_source("part", "p_partkey", "p_partkey, p_size"), "lat", "lon", inp.EDGE_M, "p_partkey, p_size, lat")
     rps = comp.RETURN_PERIODS
     d = [f"greatest(0e0, p_size / 10 + {e(0.4 * i)} - p_partkey % 7)" for i in range(len(rps))]
-    sums = ", ".join(f"coalesce(4e6 * count(*) FILTER ({x} > 0), 0e0) AS a{rp}, coalesce(sum(4e6 * {x}) FILTER ({x} > 0), 0e0) AS d{rp}" for x, rp in zip(d, rps))
+    sums = ", ".join(f"coalesce(sum(4e6 * cos(radians(lat))) FILTER ({x} > 0), 0e0) AS a{rp}, coalesce(sum(4e6 * cos(radians(lat)) * {x}) FILTER ({x} > 0), 0e0) AS d{rp}" for x, rp in zip(d, rps))
     sev = [f"coalesce({clip(f'a{rp} / {e(CELL_AREA)}')} * (d{rp} / nullif(a{rp}, 0e0)) / (d{rp} / nullif(a{rp}, 0e0) + 1), 0e0)" for rp in rps]
     eas = " + ".join(f"5e-1 * ({a} + {b}) * {e(1 / p - 1 / q)}" for a, b, p, q in zip(sev, sev[1:], rps, rps[1:]))
     first = "CASE " + " ".join(f"WHEN a{rp} / {e(CELL_AREA)} >= 1e-1 THEN {rp}" for rp in rps) + " ELSE 0 END"
-    return f"""WITH s AS (SELECT (q + 1048576) * 2097152 + r + 1048576 AS cell, p_partkey, p_size FROM ({src})), g AS (SELECT cell, {sums} FROM s GROUP BY cell), x AS (SELECT *, {eas} AS eas FROM g)
+    return f"""WITH s AS (SELECT (q + 1048576) * 2097152 + r + 1048576 AS cell, p_partkey, p_size, lat FROM ({src})), g AS (SELECT cell, {sums} FROM s GROUP BY cell), x AS (SELECT *, {eas} AS eas FROM g)
       SELECT cell, round(eas, 8) AS eas, round(1 - {clip("eas / 5e-2")}, 6) AS score, {first} AS first_rp FROM x"""
 
 
@@ -176,7 +181,8 @@ def oracle_sql() -> dict[str, str]:
           SELECT cell, mode, round(raw, 6) AS raw, round(minutes, 4) AS tmin, round(dm * (6e-1 + 4e-1 * (1 - exp(-greatest(0e0, raw - dm) / 15e-1))), 6) AS reach FROM d""",
         "mbo_field": _MBO,
         "city_weighted_percentile": _CITY,
-        "weighted_median_rent": f"""WITH {inp.CELLS}, k AS (SELECT kreis, cell, round(rent_2022, 9) AS v, CASE WHEN max(CASE WHEN population > 0 THEN population END) OVER (PARTITION BY kreis) IS NULL THEN 1e0 WHEN population > 0 THEN population ELSE 0e0 END AS w FROM c WHERE kreis IS NOT NULL AND rent_2022 IS NOT NULL),
+        "city_parts": _PARTS,
+        "weighted_median_rent": f"""WITH {inp.CELLS}, k AS (SELECT kreis, cell, round(rent_2022, 9) AS v, CASE WHEN bool_or(population IS NULL) OVER (PARTITION BY kreis) OR sum(population) OVER (PARTITION BY kreis) <= 0 THEN 1e0 ELSE population END AS w FROM c WHERE kreis IS NOT NULL AND rent_2022 IS NOT NULL),
           u AS (SELECT *, sum(w) OVER (PARTITION BY kreis ORDER BY v, cell ROWS UNBOUNDED PRECEDING) AS run, sum(w) OVER (PARTITION BY kreis) AS total FROM k),
           m AS (SELECT kreis, min(v) AS rent_2022 FROM u WHERE run >= 5e-1 * total - 1e-9 GROUP BY kreis), n AS (SELECT kreis, quantile_cont(v, 0.5) AS plain, stddev_samp(v) AS spread FROM k GROUP BY kreis)
           SELECT kreis, round(rent_2022, 6) AS rent_2022, round(plain, 6) AS plain, round(spread, 6) AS spread FROM m JOIN n USING (kreis)""",
@@ -199,8 +205,8 @@ def oracle_sql() -> dict[str, str]:
         "composite_rank": _RANK,
         "score_cdf": f"WITH {inp.CELLS}, b AS (SELECT CAST(round_even(round(s_green * 254, 6), 0) AS INT) AS code, sum(population) AS p FROM c WHERE population > 0 GROUP BY 1) SELECT code, round(sum(p) OVER (ORDER BY code) / sum(p) OVER (), 6) AS cdf FROM b",
         "access_modes": _ACCESS,
-        "content_changed": """WITH a AS (SELECT cell, inhabited FROM scores WHERE run_no = 0), b AS (SELECT cell, inhabited FROM scores WHERE run_no = 1)
-          SELECT 'gone' AS side, inhabited, count(*) AS n FROM (SELECT * FROM a EXCEPT ALL SELECT * FROM b) GROUP BY inhabited UNION ALL SELECT 'new', inhabited, count(*) FROM (SELECT * FROM b EXCEPT ALL SELECT * FROM a) GROUP BY inhabited""",
+        "content_changed": """WITH s AS (SELECT run_no, cell, inhabited FROM scores), b AS (SELECT run_no + 1 AS run_no, cell, inhabited FROM s WHERE run_no + 1 IN (SELECT run_no FROM s)), a AS (SELECT * FROM s WHERE run_no - 1 IN (SELECT run_no FROM s))
+          SELECT run_no, 'gone' AS side, inhabited, count(*) AS n FROM (SELECT * FROM b EXCEPT ALL SELECT * FROM a) GROUP BY ALL UNION ALL SELECT run_no, 'new', inhabited, count(*) FROM (SELECT * FROM a EXCEPT ALL SELECT * FROM b) GROUP BY ALL""",
         "tau_sweep": f"""WITH {REACH}, n AS (SELECT re.cell, minutes, weight / 100 AS mass, unnest([10e0, 15e0, 20e0, 30e0]) AS tau FROM re JOIN z USING (center) WHERE mode = 'car' AND minutes < 60), b AS (SELECT tau, cell, sum(mass * exp(-minutes / tau)) AS raw FROM n GROUP BY tau, cell)
           SELECT tau, count(*) AS cells, round(avg(raw), 6) AS mean, round(quantile_cont(raw, 0.95), 6) AS p95 FROM b GROUP BY tau""",
         "palette_levels": f"""WITH p AS ({sql.utm32_cells(inp.key_source("part", "p_partkey", "p_partkey AS k"), "lat", "lon", inp.EDGE_M, "k")}),

@@ -101,7 +101,7 @@ def test_mbo_bounds(spark):
     r = spark.createDataFrame([(c, x, "car", rnd.uniform(0, 119)) for c in range(6) for x in range(20)], "center long, cell long, mode string, minutes double")
     opp = spark.createDataFrame([(c, rnd.random()) for c in range(6)], "center long, opp double")
     native = spark.createDataFrame([(3, 0.9), (4, 0.1)], "cell long, native double")
-    got = {x.cell: x for x in reach.mbo(r, opp, native).collect()}
+    got = {x.cell: x for x in reach.mbo(r, opp, native, ["car"]).collect()}
     assert all(x.b <= x.o and 0 <= x.m <= 119 for x in got.values())
     assert got[3].m == 0 and got[3].b >= round(254 * 0.9)
 

@@ -7,9 +7,9 @@ keeps its rarest shingle, and windows whose rarest shingle never occurs are done
 second pass finds the kept shingles, and takes along the words around each hit up to the
 bound that the shingle's place in its windows allows; the join verifies those words.
 
-What each task needs to know of the items is a bit array of fixed size (a Bloom filter), so
-nothing that is sent to the tasks grows with the items or the corpus; its false hits only
-cost rows, as the join on the exact hash follows.
+What each task needs to know of the items is bit arrays of bounded size (Bloom filters of at
+most 32 MB, one for every 16 million shingles of items); nothing that is sent to the tasks
+grows with the corpus. False hits only cost rows, as the join on the exact hash follows.
 """
 
 from __future__ import annotations
@@ -28,6 +28,7 @@ from ..session import materialise
 _WORD = re.compile(r"[^\W_]+")
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _MAX_BITS = 1 << 28
+_PROBES = 6
 
 
 class _Ids(dict):
@@ -58,7 +59,8 @@ def shingle_hashes(ids: np.ndarray, size: int) -> np.ndarray:
 
 
 class Bloom:
-    """Two bits a key in an array of a power of two of bits."""
+    """Six bits a key in an array of a power of two of bits, 16 to 32 bits a key: about one
+    in a thousand strange keys or fewer passes."""
 
     def __init__(self, words: np.ndarray):
         self.words = words
@@ -70,26 +72,44 @@ class Bloom:
 
     def hits(self, h: np.ndarray) -> np.ndarray:
         """Places of the hashes that may be among the keys."""
-        at = np.flatnonzero(self._bit(h & self.mask))
-        return at[self._bit((h[at] >> np.uint64(32)) & self.mask)]
-
-    def _bit(self, place: np.ndarray) -> np.ndarray:
-        return (self.words[place >> np.uint64(6)] >> (place & np.uint64(63))) & np.uint64(1) == 1
+        at = np.arange(len(h))
+        step = (h >> np.uint64(32)) | np.uint64(1)
+        for i in range(_PROBES):
+            with np.errstate(over="ignore"):
+                place = (h[at] + np.uint64(i) * step[at]) & self.mask
+            at = at[(self.words[place >> np.uint64(6)] >> (place & np.uint64(63))) & np.uint64(1) == 1]
+            if not len(at):
+                break
+        return at
 
 
-def bloom_of(keys: DataFrame, column: str) -> Bloom:
-    """The filter of a column of hashes; its parts are put together before the driver."""
-    count = keys.count()
+def bloom_of(keys: DataFrame, column: str, count: int) -> Bloom:
+    """The filter of ``count`` hashes; its parts are put together before the driver, which
+    holds at most 32 MB of them."""
     bits = Bloom.size(count)
     h = F.col(column)
-    place = F.explode(F.array(h.bitwiseAND(F.lit(bits - 1)), F.shiftrightunsigned(h, 32).bitwiseAND(F.lit(bits - 1))))
-    parts = keys.select(place.alias("p")).groupBy(F.shiftright("p", 6).alias("i")).agg(F.bit_or(F.expr("shiftleft(1L, cast(p & 63 as int))")).alias("w"))
+    step = F.shiftrightunsigned(h, 32).bitwiseOR(F.lit(1))
+    # only the low bits count, so the sums may run over
+    places = [(h.bitwiseAND(F.lit(bits - 1)) + F.lit(i) * step.bitwiseAND(F.lit(bits - 1))).bitwiseAND(F.lit(bits - 1)) for i in range(_PROBES)]
+    parts = keys.select(F.explode(F.array(*places)).alias("p")).groupBy(F.shiftright("p", 6).alias("i")).agg(F.bit_or(F.expr("shiftleft(1L, cast(p & 63 as int))")).alias("w"))
     words = np.zeros(bits // 64, np.uint64)
     got = parts.toPandas()
     words[got.i.to_numpy()] = got.w.to_numpy().astype(np.int64).view(np.uint64)
     return Bloom(words)
 
 
+def blooms_of(keys: DataFrame, column: str, most: int = _MAX_BITS // 16) -> list[Bloom]:
+    """Filters of the distinct hashes of a column, as many as keep each within ``most`` keys:
+    more keys mean more passes, never a filter that lets everything through."""
+    distinct = materialise(keys.select(column).distinct())
+    count = distinct.count()
+    parts = max(1, -(-count // most))
+    if parts == 1:
+        return [bloom_of(distinct, column, count)]
+    part = F.pmod(F.xxhash64(column), F.lit(parts))
+    return [bloom_of(distinct.where(part == i), column, -(-count // parts)) for i in range(parts)]
+
+
 def _text_hashes(batch: pd.DataFrame, get, size: int) -> Iterator[tuple[int, list[str], np.ndarray]]:
     for i, t in enumerate(batch.t):
         words = fold_words(t)
@@ -109,19 +129,29 @@ def _item_shingles(items: DataFrame, size: int) -> DataFrame:
     return items.mapInPandas(cut, f"item {kind}, pos long, h long, n long")
 
 
-def _counts(docs: DataFrame, bloom: Bloom, size: int) -> DataFrame:
+def _counts(docs: DataFrame, blooms: list[Bloom], keys: DataFrame, size: int) -> DataFrame:
+    """How often each of the hashes ``keys`` stands in the texts. What the filters let through
+    besides is dropped where the keys arrive."""
+
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         get, total = _Ids().__getitem__, {}
         for b in batches:
             for _, _, h in _text_hashes(b, get, size):
-                for k in h[bloom.hits(h)].view(np.int64).tolist():
+                for k in h[_any_hits(blooms, h)].view(np.int64).tolist():
                     total[k] = total.get(k, 0) + 1
             if len(total) > 500_000:
                 yield pd.DataFrame(total.items(), columns=["h", "c"])
                 total = {}
         yield pd.DataFrame(list(total.items()), columns=["h", "c"]).astype("int64")
 
-    return docs.select("t").mapInPandas(count, "h long, c long").groupBy("h").agg(F.sum("c").alias("c"))
+    each = docs.select("t").mapInPandas(count, "h long, c long").groupBy("h").agg(F.sum("c").alias("c"))
+    return each.join(keys.select("h").distinct(), "h", "left_semi")
+
+
+def _any_hits(blooms: list[Bloom], h: np.ndarray) -> np.ndarray:
+    if len(blooms) == 1:
+        return blooms[0].hits(h)
+    return np.unique(np.concatenate([b.hits(h) for b in blooms]))
 
 
 def leaked_passages(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", item_id: str = "item_id", text: str = "text", window: int = 20, shingle: int = 5) -> DataFrame:
@@ -141,13 +171,13 @@ def leaked_passages(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", i
     # items are cut by (item, copy), so that two texts under one id stay apart
     cut = _item_shingles(single.select(F.to_json("item").alias("item"), "t"), shingle).where(F.col("n") >= window)
     cut = materialise(cut)
-    common = _counts(d, bloom_of(cut.select("h").distinct(), "h"), shingle)
+    common = materialise(_counts(d, blooms_of(cut, "h"), cut, shingle))
     by_window = Window.partitionBy("item").orderBy("pos").rowsBetween(0, reach)
     ranked = cut.join(common, "h", "left").select("item", "pos", "h", "n", F.coalesce("c", F.lit(0)).alias("c"))
     least = F.min(F.struct("c", "pos", "h")).over(by_window)
     prefix = ranked.withColumn("m", least).where(F.col("pos") <= F.col("n") - window).where(F.col("m.c") > 0)
     prefix = materialise(prefix.select("item", F.col("m.pos").alias("pos"), F.col("m.h").alias("h")).distinct())
-    bloom = bloom_of(prefix.select("h").distinct(), "h")
+    blooms = blooms_of(prefix, "h")
 
     def around(words: list[str], at: int) -> tuple[str, str, str]:
         left, right = words[max(0, at - reach) : at], words[at + shingle : at + shingle + reach]
@@ -158,7 +188,7 @@ def leaked_passages(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", i
         for b in batches:
             out = []
             for i, words, h in _text_hashes(b, get, shingle):
-                at = bloom.hits(h)
+                at = _any_hits(blooms, h)
                 if len(at):
                     key = b["doc"].iloc[i]
                     out += [(int(k), key, *around(words, p)) for p, k in zip(at.tolist(), h[at].view(np.int64))]

@@ -127,13 +127,14 @@ def _slots(patterns: list[tuple[int, list[int]]]) -> dict[str, np.ndarray]:
     return {"key": table[:, 0], "start": table[:, 1], "base": table[:, 2], "n": table[:, 3]}
 
 
-def pack(lengths: DataFrame, capacity: int, key: str, length: str, hot: int = 1_000_000, spread: int = 256) -> DataFrame:
+def pack(lengths: DataFrame, capacity: int, key: str, length: str, spread: int = 256) -> DataFrame:
     """Assign each item to a container: key, ``part``, ``start``, ``size``, ``container``.
 
     An item over ``capacity`` is cut into full containers and a rest, which is packed as
     any other; nothing else is split. Items of length 0 (or NULL) take no space and go to
-    container 0. Keys must be unique. A length with more than ``hot`` items is ranked in
-    ``spread`` hash buckets whose sizes are added up first, so no task sorts all of it.
+    container 0. Keys must be unique. Items of one length are ranked in ``spread`` hash
+    buckets whose sizes are added up first, so no task sorts all of a length; the ranks,
+    and with them the containers, follow from the items alone.
     """
     if not 0 < capacity <= MAX_CAPACITY:
         raise ValueError(f"capacity must be from 1 to {MAX_CAPACITY}")
@@ -144,19 +145,14 @@ def pack(lengths: DataFrame, capacity: int, key: str, length: str, hot: int = 1_
     items = materialise(items)
     histogram = {r["size"]: r["c"] for r in items.where("size > 0").groupBy("size").agg(F.count(F.lit(1)).alias("c")).collect()}  # at most ``capacity`` rows
     slots = _slots(pack_histogram(histogram, capacity))
-    many = [size for size, c in histogram.items() if c > hot]
-    full = items.where("size > 0")
-    by = Window.partitionBy("size").orderBy(key, "part")
-    ranked = full.where(~F.col("size").isin(many)) if many else full
-    ranked = ranked.withColumn("_rank", (F.row_number().over(by) - 1).cast("long"))
-    if many:
-        split = full.where(F.col("size").isin(many)).withColumn("_b", F.pmod(F.xxhash64(key, "part"), F.lit(spread)).cast("int"))
-        sizes = split.groupBy("size", "_b").agg(F.count(F.lit(1)).alias("_c"))
-        before = Window.partitionBy("size").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-        offsets = sizes.select("size", "_b", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_off"))
-        in_bucket = Window.partitionBy("size", "_b").orderBy(key, "part")
-        split = split.join(offsets, ["size", "_b"]).withColumn("_rank", F.col("_off") + F.row_number().over(in_bucket) - 1)
-        ranked = ranked.unionByName(split.select(*ranked.columns))
+    full = items.where("size > 0").withColumn("_b", F.pmod(F.xxhash64(key, "part"), F.lit(spread)).cast("int"))
+    sizes = full.groupBy("size", "_b").agg(F.count(F.lit(1)).alias("_c"))
+    before = Window.partitionBy("size").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("size", "_b", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_off"))
+    in_bucket = Window.partitionBy("size", "_b").orderBy(key, "part")
+    ranked = full.withColumn("_k", F.row_number().over(in_bucket) - 1)
+    # both sides are where the windows put them: a merge moves only the offsets
+    ranked = ranked.join(offsets.hint("merge"), ["size", "_b"]).withColumn("_rank", F.col("_off") + F.col("_k"))
     kind = lengths.schema[key].dataType.simpleString()
 
     def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -168,3 +164,11 @@ def pack(lengths: DataFrame, capacity: int, key: str, length: str, hot: int = 1_
     placed = ranked.select(key, "part", "start", "size", "_rank").mapInPandas(assign, f"{key} {kind}, part long, start long, size long, container long")
     nothing = items.where("size = 0").select(key, "part", "start", "size", F.lit(0).cast("long").alias("container"))
     return placed.unionByName(nothing)
+
+
+def filled(packed: DataFrame, capacity: int) -> DataFrame:
+    """One row: ``pieces``, ``containers``, ``units`` in them, ``overfull`` ones and the ``fill``
+    (the share of the space that is used); without an item the fill is NULL."""
+    each = packed.where("size > 0").groupBy("container").agg(F.sum("size").alias("used"), F.count(F.lit(1)).alias("n"))
+    total = each.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("pieces"), F.count(F.lit(1)).alias("containers"), F.coalesce(F.sum("used"), F.lit(0)).alias("units"), F.count_if(F.col("used") > capacity).alias("overfull"))
+    return total.withColumn("fill", F.col("units") / F.nullif(F.col("containers") * capacity, F.lit(0)))

@@ -11,6 +11,7 @@ from . import leakage, linkage, packing, quantiles, residue, survivorship, varia
 
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 CAPACITY = 2048
+CHARS = 8192
 PERCENTILES = [0.01, 0.05, 0.25, 0.5, 0.75, 0.95, 0.99, 0.999]
 NUMBERS = ["rent_2022", "population", "vacancy_pct"]
 
@@ -97,6 +98,21 @@ def p8_packed(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack(lengths, CAPACITY, "doc_id", "n_tokens")
 
 
+def p8_fill(spark: SparkSession, sf: str) -> DataFrame:
+    """How many containers the texts take, and how full they are."""
+    return packing.filled(p8_packed(spark, sf), CAPACITY).withColumn("fill", F.round("fill", 6))
+
+
+def p8_chars(spark: SparkSession, sf: str) -> DataFrame:
+    """The texts by their length in characters: their pieces, and that no container is too
+    full or emptier on average than one in fifty."""
+    packed = packing.pack(table(spark, sf, "documents"), CHARS, "doc_id", "n_chars")
+    whole = packing.filled(packed, CHARS)
+    docs = packed.groupBy("doc_id").agg(F.count(F.lit(1)).alias("pieces"), F.sum("size").alias("chars"), F.max("size").alias("largest"))
+    good = whole.select((F.col("overfull") == 0).alias("fits"), (F.col("fill") > 0.98).alias("full"))
+    return docs.withColumns({c: good.select(c).scalar() for c in ("fits", "full")})
+
+
 def p9_found(spark: SparkSession, sf: str) -> DataFrame:
     return leakage.leaked_passages(table(spark, sf, "documents"), table(spark, sf, "eval_items")).select("doc_id", "item_id")
 
@@ -124,7 +140,7 @@ def p10_heldout(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (p1_found, p1_records, p4_found, p4_records, p5_found, p5_matches, p7_percentiles, p7_builds, p8_packed, p9_found, p9_items, p10_found, p10_templates, p10_heldout)}
+    return {f.__name__: f for f in (p1_found, p1_records, p4_found, p4_records, p5_found, p5_matches, p7_percentiles, p7_builds, p8_packed, p8_fill, p8_chars, p9_found, p9_items, p10_found, p10_templates, p10_heldout)}
 
 
 _LEAKS = """
@@ -156,6 +172,7 @@ WITH {_GROUPED},
         "p1_found": f"WITH {_GROUPED} SELECT first AS keep_row, row_id AS dup_row FROM h WHERE n > 1 AND row_id <> first",
         "p1_records": f"WITH {_GROUPED} SELECT first AS keep_row, n AS copies, name, zip FROM h WHERE row_id = first",
         "p4_found": ranked + " SELECT first AS group_row, fld, row_id AS source_row FROM u WHERE k = 1",
+        "p8_chars": "SELECT doc_id, greatest(1, CAST(ceil(n_chars / 8192e0) AS BIGINT)) AS pieces, n_chars AS chars, least(n_chars, 8192) AS largest, true AS fits, true AS full FROM documents",
         "p9_found": f"WITH {_P9} SELECT doc_id, item_id FROM f",
         "p9_items": f"WITH {_P9} SELECT item_id, task, count(doc_id) AS documents FROM eval_items LEFT JOIN f USING (item_id) GROUP BY item_id, task",
         "p4_records": ranked

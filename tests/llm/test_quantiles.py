@@ -74,4 +74,13 @@ def test_percentiles_keep_both_tails(spark, tmp_path):
     got = queries.p7_percentiles(spark, str(tmp_path)).collect()
     assert len(got) == kreise * len(queries.PERCENTILES) * len(queries.NUMBERS)
     for r in got:
-        assert r.n == n and abs((r.value - 1) / 98 - r.p) < 0.08 * min(r.p, 1 - r.p)
+        assert r.n == n and r.rank_bound == pytest.approx(0.08 * min(r.p, 1 - r.p))
+        assert abs((r.value - 1) / 98 - r.p) <= r.rank_bound
+
+
+def test_no_bound_while_all_is_kept():
+    s = q.RelativeSketch()
+    s.update(np.arange(191.0))
+    assert q.rank_bound(s.n, 0.5, s.k, s.high) == 0.0 and s.quantiles([0.5]) == [95.0]
+    assert q.rank_bound(10**6, 0.99, 32, True) == pytest.approx(0.0008)
+    assert q.rank_bound(10**6, 0.01, 32, False) == pytest.approx(0.0008)

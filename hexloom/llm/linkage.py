@@ -1,9 +1,11 @@
 """Entities of two sources matched without a key, as one collective decision.
 
 Nodes are schools of a register (rows whose names hold the same words in one zip are one
-node) and objects of a map. Edges join nodes that are near each other; an edge weighs what
-its ends share, rare words more than common ones, typing slips, abbreviations and initials
-allowed for. Edges below their nodes' average weight at both ends are dropped. What remains
+node) and objects of a map. Edges join nodes that share a block: the same spot, or one of the
+object's rarest words in the same part of the country, so that a school whose coordinates are
+some streets off is still met by its name. An edge weighs what its ends share, rare words
+more than common ones, typing slips, abbreviations and initials allowed for. Edges below
+their nodes' average weight at both ends are dropped. What remains
 is settled by rounds in which every edge's confidence is its own similarity against what
 its neighbours at both ends claim; a school whose object is sure thereby frees the objects
 next to it, and the rounds go on until nothing changes any more. They run in each connected
@@ -12,19 +14,25 @@ component by itself, so what a pair gets doesn't depend on rows it isn't linked
 
 from __future__ import annotations
 
+import math
+
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, Window
 
-from ..functions import text
+from ..functions import geo, text
 from ..operators.iterate import components
 from ..operators.nearby import within_distance
 from ..session import materialise
 from . import variants
 
-REACH_M = 160.0
+#: How far apart rows may be that share a spot, and those that share rare words.
+REACH_M, WORD_REACH_M = 160.0, 2_000.0
+#: A pair must share this part of the object's name, by weight.
+LEAST_PART = 0.5
 ACCEPT = 0.3
 # An edge is at rest when a round changes it by less than STILL of itself, gone when it falls
 # under GONE and still falls.
@@ -67,6 +75,10 @@ MAP_KINDS = {"grundschule": "grund", "gymnasium": "gym", "realschule": "real", "
 #: Words that tell schools apart too little.
 COMMON = frozenset("am an auf bei der die das den zu zur zum im in und von staedt staatl schule sch nord sued ost west i ii iii iv".split())
 
+#: Words that tell a branch from its school. Rows that don't share a spot
+#: describe one school only if they agree in these.
+BRANCH = frozenset("nord sued ost west mitte i ii iii iv v 1 2 3 4 5 aussenstelle nebenstelle zweigstelle filiale standort dependance".split())
+
 _SHORT = {s: kind for kind, forms in KINDS.items() for s in forms}
 _FULL = {s: kind for s, kind in _SHORT.items() if len(s) >= 9}
 
@@ -89,6 +101,7 @@ def distance(a: str, b: str, most: int) -> int:
     return row[-1]
 
 
+@lru_cache(1 << 20)
 def alike(a: str, b: str) -> float:
     """How far two words may be one: 1 for equal ones, 0 for different ones."""
     if a == b:
@@ -103,6 +116,13 @@ def alike(a: str, b: str) -> float:
     return 0.9 - 0.1 * (d - 1) if most and d <= most else 0.0
 
 
+def branch(name: str | None) -> str:
+    """The words of a name that tell a branch, in order of the alphabet."""
+    if not isinstance(name, str):
+        return ""
+    return " ".join(sorted(BRANCH.intersection(w.translate(_PLAIN) for w in text.words(name))))
+
+
 def read_name(name: str | None) -> tuple[list[str], str | None]:
     """The words that identify a school, and its kind as far as its name tells."""
     if not isinstance(name, str):
@@ -129,14 +149,14 @@ def read_name(name: str | None) -> tuple[list[str], str | None]:
 
 
 def name_features(names: DataFrame) -> DataFrame:
-    """``name``, its ``words`` and ``kind``, for each distinct name."""
+    """``name``, its ``words``, ``kind`` and ``branch``, for each distinct name."""
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             got = [read_name(n) for n in b.name]
-            yield pd.DataFrame({"name": b.name, "words": [g[0] for g in got], "kind": [g[1] for g in got]})
+            yield pd.DataFrame({"name": b.name, "words": [g[0] for g in got], "kind": [g[1] for g in got], "branch": list(map(branch, b.name))})
 
-    return names.select("name").where(F.col("name").isNotNull()).distinct().mapInPandas(read, "name string, words array<string>, kind string")
+    return names.select("name").where(F.col("name").isNotNull()).distinct().mapInPandas(read, "name string, words array<string>, kind string, branch string")
 
 
 def similarity(left: list[tuple[str, float]], right: list[tuple[str, float]]) -> tuple[float, float]:
@@ -155,11 +175,11 @@ def edge_score(left: list, right: list, left_kind: str | None, right_kinds: set[
     same = left_kind in right_kinds if left_kind and right_kinds else None
     if same is False:
         return 0.0, 0.0
-    near = 1 - 0.3 * dist_m / REACH_M
+    near = max(0.0, 1 - 0.3 * dist_m / REACH_M)
     if left and right:
         part, shared = similarity(left, right)
         # the other way round a short map name would seem to lack words
-        if part < 0.5:
+        if part < LEAST_PART:
             return 0.0, shared
         return part * (1.0 if same else 0.85) * (0.7 + 0.3 * near), shared + 2 * near + (2 if same else 0)
     return (0.5 if same else 0.43) * near, 2 * near + (2 if same else 0)
@@ -173,7 +193,40 @@ def _kind_of(column: Column, table: dict[str, str], prefix: bool) -> Column:
     return out
 
 
+def prefix(words: Column) -> Column:
+    """The rarest words of a name without which no pair can share :data:`LEAST_PART` of its
+    weight: once what is left weighs less, it can't be enough by itself."""
+    rare = F.reverse(F.array_sort(F.transform(words, lambda w: F.struct(w["idf"].alias("idf"), w["word"].alias("word")))))
+    total = F.aggregate(rare, F.lit(0.0), lambda a, w: a + w["idf"])
+    step = lambda a, w: F.when(a["left"] >= LEAST_PART * total, F.struct((a["left"] - w["idf"]).alias("left"), F.array_append(a["words"], w["word"]).alias("words"))).otherwise(a)
+    return F.aggregate(rare, F.struct(total.alias("left"), F.array().cast("array<string>").alias("words")), step)["words"]
+
+
+def sharing_words(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Pairs (lid, osm, dist_m) at most :data:`WORD_REACH_M` apart that share one of the
+    object's prefix words.
+
+    ``left`` has lid, lat, lon and words, a row for each place of a node, ``right`` osm, lat,
+    lon and words. Blocks are a word in a square about as wide as the reach; objects are
+    listed in the nine around theirs, so a pair meets in the square of its left row.
+    """
+    high = WORD_REACH_M / 111_000.0
+    # wide enough up to 70 degrees north or south; further towards the poles squares overlap more
+    wide = high / math.cos(math.radians(70.0))
+    cell = lambda c, size: F.floor(F.col(c) / F.lit(size)).cast("int")
+    around = F.array(F.lit(-1), F.lit(0), F.lit(1))
+    l = left.where("size(words) > 0").select("lid", "lat", "lon", cell("lat", high).alias("cy"), cell("lon", wide).alias("cx"), F.explode(F.array_distinct(F.transform("words", lambda w: w["word"]))).alias("word"))
+    r = right.where("size(words) > 0 and lat between -90 and 90 and not isnan(lon)").select("osm", F.col("lat").alias("o_lat"), F.col("lon").alias("o_lon"), cell("lat", high).alias("y"), cell("lon", wide).alias("x"), F.explode(prefix(F.col("words"))).alias("word"))
+    r = r.withColumn("cy", F.explode(F.transform(around, lambda i: F.col("y") + i))).withColumn("cx", F.explode(F.transform(around, lambda i: F.col("x") + i)))
+    dist = geo.haversine_m(F.col("lat"), F.col("lon"), F.col("o_lat"), F.col("o_lon"))
+    return l.distinct().join(r, ["word", "cy", "cx"]).select("lid", "osm", dist.alias("dist_m")).where(F.col("dist_m") <= WORD_REACH_M)
+
+
 def _scored(edges: DataFrame) -> DataFrame:
+    # so many tasks as are set: the scores are Python's work and must not wait in a few of them
+    parts = int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    edges = edges.repartition(parts, "lid", "osm")
+
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             s, w = [], []
@@ -292,12 +345,16 @@ def match(register: DataFrame, objects: DataFrame) -> DataFrame:
     total = F.lit(float(max(1, left.count() + right.count())))
     weighed = names.select("name", F.explode("words").alias("word")).join(seen, "word")
     weighed = weighed.groupBy("name").agg(F.collect_list(F.struct("word", (F.log(total / F.col("df")) + 0.1).alias("idf"))).alias("words"))
-    features = materialise(names.select("name", "kind").join(weighed, "name", "left"))
-
-    edges = within_distance(members.select("lid", "lat", "lon"), right.select("osm", "lat", "lon"), "lid", "osm", REACH_M)
-    l_side = left.join(features, "name", "left").select("lid", F.col("words").alias("l_words"), F.coalesce("kind", _kind_of(F.col("school_type"), REGISTER_KINDS, True)).alias("l_kind"), F.when(F.size("words") > 0, F.xxhash64(F.array_sort(F.transform("words", lambda w: w["word"])), "kind")).alias("name_key"))
-    r_side = right.join(features, "name", "left").select("osm", F.col("words").alias("r_words"), F.col("kind").alias("r_kind"), _kind_of(F.col("subcategory"), MAP_KINDS, False).alias("map_kind"))
-    scored = _scored(edges.join(l_side, "lid").join(r_side, "osm")).where("s > 0")
+    features = materialise(names.select("name", "kind", "branch").join(weighed, "name", "left"))
+
+    spots = within_distance(members.select("lid", "lat", "lon"), right.select("osm", "lat", "lon"), "lid", "osm", REACH_M)
+    l_places = members.select("lid", "lat", "lon").join(left.select("lid", "name"), "lid").join(features.select("name", "words"), "name").drop("name")
+    by_word = sharing_words(l_places, right.select("osm", "lat", "lon", "name").join(features.select("name", "words"), "name").drop("name"))
+    edges = spots.unionByName(by_word).groupBy("lid", "osm").agg(F.min("dist_m").alias("dist_m"))
+    l_side = left.join(features, "name", "left").select("lid", F.col("words").alias("l_words"), F.col("branch").alias("l_branch"), F.coalesce("kind", _kind_of(F.col("school_type"), REGISTER_KINDS, True)).alias("l_kind"), F.when(F.size("words") > 0, F.xxhash64(F.array_sort(F.transform("words", lambda w: w["word"])), "kind")).alias("name_key"))
+    r_side = right.join(features, "name", "left").select("osm", F.col("words").alias("r_words"), F.col("branch").alias("r_branch"), F.col("kind").alias("r_kind"), _kind_of(F.col("subcategory"), MAP_KINDS, False).alias("map_kind"))
+    both = edges.join(l_side, "lid").join(r_side, "osm").where((F.col("dist_m") <= REACH_M) | (F.col("l_branch") == F.col("r_branch"))).drop("l_branch", "r_branch")
+    scored = _scored(both).where("s > 0")
     average = lambda c: F.avg("weight").over(Window.partitionBy(c))
     pruned = scored.withColumns({"l_avg": average("lid"), "r_avg": average("osm")}).where("weight >= l_avg - 1e-9 or weight >= r_avg - 1e-9")
     settled = _propagate(pruned.select("lid", "osm", "name_key", "dist_m", "s"))

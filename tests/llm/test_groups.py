@@ -82,7 +82,7 @@ def test_match(spark):
         (7, "Oberschule Fern", "22222", "Oberschule", "51.0", "11.0", 0),
     ]
     O = "osm_id long, name string, subcategory string, lat double, lon double, row_id int"
-    osm = [(91, "GS L. Buhcried", "grundschule", 50.0003, 10.0, 0), (92, "Gymn. Lutz-Buchried", "other", 50.0, 10.0003, 0), (93, None, "realschule", 50.0, 10.0004, 0), (94, "Oberschule Fern", "oberschule", 51.01, 11.0, 0), (91, "GS L. Buhcried", "grundschule", 50.0003, 10.0, 0), (95, "Schule", "other", float("nan"), None, 0)]
+    osm = [(91, "GS L. Buhcried", "grundschule", 50.0003, 10.0, 0), (92, "Gymn. Lutz-Buchried", "other", 50.0, 10.0003, 0), (93, None, "realschule", 50.0, 10.0004, 0), (94, "Oberschule Fern", "oberschule", 51.3, 11.0, 0), (91, "GS L. Buhcried", "grundschule", 50.0003, 10.0, 0), (95, "Schule", "other", float("nan"), None, 0)]
     got = linkage.match(spark.createDataFrame(reg, R), spark.createDataFrame(osm, O)).collect()
     assert sorted((r.row_id, r.osm_id) for r in got) == [(1, 91), (2, 91), (3, 92), (4, 93), (6, 93)]
     assert all(0 < r.confidence <= 1 for r in got)
@@ -90,6 +90,34 @@ def test_match(spark):
     assert empty.count() == 0
 
 
+def test_far_rows_meet_by_their_words(spark):
+    reg = [(1, "Grundschule Nelda-Jägerfleth Premsrode", "11111", "Grundschule", "50.0", "10.0"), (2, "Schillergymnasium", "11111", "Gymnasium", "50.02", "10.0")]
+    osm = [
+        (11, "GS Nelda Jaegerfleth Premsrode", "grundschule", 50.0045, 10.0),  # 500 m off
+        (12, "Grundschule Falko Premsrode", "grundschule", 50.006, 10.0),
+        (13, "Schillergymnasium", "gymnasium", 50.3, 10.0),  # 31 km off
+        (14, None, "grundschule", 50.0045, 10.0),
+    ]
+    R, O = "row_id long, name string, zip string, school_type string, latitude string, longitude string", "osm_id long, name string, subcategory string, lat double, lon double"
+    got = linkage.match(spark.createDataFrame(reg, R), spark.createDataFrame(osm, O)).collect()
+    assert [(r.row_id, r.osm_id) for r in got] == [(1, 11)]
+
+
+def test_prefix_words_are_enough(spark):
+    rnd = random.Random(9)
+    rows = []
+    for i in range(200):
+        rows.append((i, [(f"w{k}", rnd.uniform(0.1, 9.0)) for k in range(rnd.randint(1, 6))]))
+    df = spark.createDataFrame(rows, "id long, words array<struct<word string, idf double>>")
+    for r in df.select("id", "words", linkage.prefix(F.col("words")).alias("p")).collect():
+        total, rest = sum(w.idf for w in r["words"]), [w for w in r["words"] if w.word not in r.p]
+        assert sum(w.idf for w in rest) < 0.5 * total and r.p
+        # nor is it longer than needed
+        last = min((w for w in r["words"] if w.word in r.p), key=lambda w: w.idf)
+        assert sum(w.idf for w in rest) + last.idf >= 0.5 * total - 1e-9
+
+
+
 E = "lid long, osm long, name_key long, dist_m double, s double"
 
 

@@ -206,7 +206,9 @@ def leaked_passages(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", i
     # an item's own windows: as many as it has words, so they fit one row
     places = prefix.groupBy("item").agg(F.collect_list(F.struct("h", "pos")).alias("places"))
     texts = single.select(F.to_json("item").alias("key"), F.col("item.item").alias("item"), "t")
-    wanted = texts.join(places.withColumnRenamed("item", "key"), "key").select("item", "t", "places").mapInPandas(windows, f"h long, item {item_kind}, i_left string, i_mid string, i_right string")
+    # written out, so that its true size decides whether the items' windows go to the tasks or
+    # the corpus' hits, which grow, are shuffled
+    wanted = materialise(texts.join(places.withColumnRenamed("item", "key"), "key").select("item", "t", "places").mapInPandas(windows, f"h long, item {item_kind}, i_left string, i_mid string, i_right string"))
     found = d.mapInPandas(find, f"h long, doc {doc_kind}, left string, mid string, right string")
 
     def run(a: str, b: str) -> int:

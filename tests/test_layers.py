@@ -169,3 +169,23 @@ def test_scratch_deletes_its_tables(spark):
         path = Path(t.inputFiles()[0].removeprefix("file://")).parent
         assert t.count() == 3 and path.exists()
     assert not path.exists()
+
+
+@pytest.mark.parametrize(
+    "address, street, number, key, first",
+    [
+        ("Königsberger Straße 12a", "Königsberger Straße", "12a", "koenigsbergerstr", 12),
+        ("Am Ring  7 - 9", "Am Ring", "7 - 9", "amring", 7),
+        ("Lange Str., 3/5", "Lange Str.", "3/5", "langestr", 3),
+        ("Haupt St 4 b", "Haupt St", "4 b", "hauptstr", 4),
+        ("Platz des 17. Juni", None, None, None, None),
+        ("12", None, None, None, None),
+        (None, None, None, None, None),
+    ],
+)
+def test_addresses(spark, address, street, number, key, first):
+    from hexloom.operators import geocode as gc
+
+    a, b = gc.street_and_number(F.col("a"))
+    r = spark.createDataFrame([(address,)], "a string").select(a.alias("s"), b.alias("n"), gc.norm_street(a).alias("k"), gc.house_number(b).alias("f")).first()
+    assert tuple(r) == (street, number, key, first)

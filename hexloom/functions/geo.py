@@ -106,6 +106,16 @@ def hex_centre(q: Column, r: Column, edge: float) -> tuple[Column, Column]:
     return F.lit(edge * SQRT3) * (q + r / 2), F.lit(edge * 1.5) * r
 
 
+def box_cells(boxes: DataFrame, edge: float) -> DataFrame:
+    """Each box (x0, y0, x1, y1) with the ``cell`` of every hexagon whose centre lies in it."""
+    rows = F.sequence(F.ceil(F.col("y0") / (edge * 1.5)), F.floor(F.col("y1") / (edge * 1.5)))
+    wide = edge * SQRT3
+    cols = F.sequence(F.ceil(F.col("x0") / wide - F.col("r") / 2), F.floor(F.col("x1") / wide - F.col("r") / 2))
+    some = lambda lo, hi: F.col(lo) <= F.col(hi)
+    b = boxes.where(some("x0", "x1") & some("y0", "y1")).withColumn("r", F.explode(rows)).withColumn("q", F.explode(cols))
+    return b.withColumn("cell", cell_id(F.col("q"), F.col("r")))
+
+
 def cell_id(q: Column, r: Column) -> Column:
     return (q + F.lit(1 << 20)) * F.lit(1 << 21) + (r + F.lit(1 << 20))
 

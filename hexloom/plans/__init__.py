@@ -6,6 +6,6 @@ FLAGSHIP = "ent_density"
 
 
 def modules() -> list:
-    from . import assembly, layers, preparation, scoring, surfaces
+    from . import assembly, layers, preparation, relations, scoring, surfaces
 
-    return [preparation, layers, scoring, surfaces, assembly]
+    return [preparation, layers, scoring, surfaces, assembly, relations]

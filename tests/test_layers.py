@@ -189,3 +189,44 @@ def test_addresses(spark, address, street, number, key, first):
     a, b = gc.street_and_number(F.col("a"))
     r = spark.createDataFrame([(address,)], "a string").select(a.alias("s"), b.alias("n"), gc.norm_street(a).alias("k"), gc.house_number(b).alias("f")).first()
     assert tuple(r) == (street, number, key, first)
+
+
+def test_way_shapes(spark):
+    from hexloom.operators import ways
+
+    rows = [
+        (1, [(9.0, 50.0), (9.5, 50.0), (9.5, 50.5)]),
+        (2, [(9.0, 50.0), (9.5, 50.0), (9.5, 50.5), (9.0, 50.0)]),
+        (3, [(9.0, 50.0), (9.5, 50.0)]),
+        (4, [(1.0, 50.0), (1.5, 50.0), (1.5, 50.5)]),
+        (5, [(9.0, 95.0), (9.5, 50.0)]),
+        (6, []),
+        (7, None),
+    ]
+    df = spark.createDataFrame([(i, None if p is None else [{"lon": a, "lat": b} for a, b in p]) for i, p in rows], "id long, points array<struct<lon double, lat double>>")
+    lon, lat = ways.centroid(F.col("points"))
+    got = {r.id: r for r in df.select("id", ways.outline(F.col("points"), (8.0, 49.0, 11.0, 52.0)).alias("w"), lon.alias("lon"), lat.alias("lat")).collect()}
+    ring = "POLYGON ((9.0000000 50.0000000, 9.5000000 50.0000000, 9.5000000 50.5000000, 9.0000000 50.0000000))"
+    assert [got[i].w for i in range(1, 8)] == [ring, ring, None, None, None, None, None]
+    assert (got[3].lon, got[3].lat) == (9.25, 50.0) and (got[5].lon, got[5].lat) == (9.5, 50.0)
+    assert got[6].lon is None and got[7].lat is None
+
+
+@pytest.mark.parametrize(
+    "tags, want",
+    [
+        ({"highway": "primary", "waterway": "river"}, "primary"),
+        ({"highway": "footway", "railway": "rail", "usage": "main"}, "rail"),
+        ({"railway": "rail", "usage": "siding"}, None),
+        ({"waterway": "stream", "natural": "tree_row"}, "stream"),
+        ({"natural": "tree_row", "landuse": "forest"}, "trees"),
+        ({"landuse": "forest", "access": "private"}, "green:forest"),
+        ({"landuse": "military", "amenity": "pharmacy"}, "closed:military"),
+        ({"amenity": "pharmacy"}, "poi:family/pharmacy"),
+        ({}, None),
+    ],
+)
+def test_way_dispatch(spark, tags, want):
+    from hexloom.operators import ways
+
+    assert spark.createDataFrame([(tags,)], "tags map<string,string>").select(ways.route().alias("r")).first().r == want

@@ -8,7 +8,7 @@ import re
 from collections.abc import Iterable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.text import LAT_RANGE, LON_RANGE
 
@@ -64,13 +64,13 @@ def parse(record: str) -> tuple:
     Structure comes first: the strict reader and, as it lets a quote in an unquoted field
     pass, the grammar of the format; then the number of fields; then the typed fields.
     """
-    if '"' in record and not _RECORD.fullmatch(record):
-        raise Rejected(QUOTING)
     try:
         # only line breaks end a line here; splitlines would also cut at separators in a text
         rows = list(csv.reader(io.StringIO(record, newline=""), strict=True))
     except csv.Error:
         raise Rejected(QUOTING) from None
+    if '"' in record and not _RECORD.fullmatch(record):
+        raise Rejected(QUOTING)
     if len(rows) != 1 or len(rows[0]) != len(COLUMNS):
         raise Rejected(COLUMN_COUNT)
     row = rows[0]
@@ -102,6 +102,34 @@ def read_records(raw: DataFrame, key: str = "line_id", line: str = "raw_line") -
     return out.withColumnRenamed("k", key)
 
 
+def records_of_files(spark: SparkSession, path: str, encoding: str = "utf-8") -> DataFrame:
+    """The records of delimited files: ``file_name``, ``line_no`` (of the record's first line, from
+    1) and ``raw_line``, for :func:`read_records`.
+
+    Lines become records where the quotes say so, which only the file's beginning can tell:
+    a file is one task's work, and many files are many tasks. A byte that is no text in the
+    encoding becomes the replacement sign. Empty files and blank last lines give no record.
+    """
+
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for name, data in zip(b["path"], b["content"]):
+                out, at = [], 1
+                for record in assemble(io.StringIO(bytes(data).decode(encoding, "replace"), newline="")):
+                    body = record.removesuffix("\n").removesuffix("\r")
+                    if body:
+                        out.append((name, at, body))
+                    at += record.count("\n") or 1
+                    if len(out) >= 10_000:
+                        yield pd.DataFrame(out, columns=["file_name", "line_no", "raw_line"])
+                        out = []
+                if out:
+                    yield pd.DataFrame(out, columns=["file_name", "line_no", "raw_line"])
+
+    files = spark.read.format("binaryFile").load(path).select("path", "content")
+    return files.mapInPandas(cut, "file_name string, line_no long, raw_line string")
+
+
 def rejected(raw: DataFrame, key: str = "line_id", line: str = "raw_line") -> DataFrame:
     return read_records(raw, key, line).where(F.col("reason").isNotNull()).select(key, "reason")
 

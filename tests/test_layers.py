@@ -230,3 +230,25 @@ def test_way_dispatch(spark, tags, want):
     from hexloom.operators import ways
 
     assert spark.createDataFrame([(tags,)], "tags map<string,string>").select(ways.route().alias("r")).first().r == want
+
+
+def test_records_of_files(spark, tmp_path):
+    from hexloom.operators import rejects
+
+    good = 'a,"One\ntwo",12345,x,y,z,50.0,10.0'
+    (tmp_path / "a.csv").write_bytes(f"{good}\r\nb,c\n\nd,e,f,g,h,i,99,10\n".encode())
+    (tmp_path / "b.csv").write_bytes(b'q,"never closed\nx,y\n')
+    (tmp_path / "c.csv").write_bytes(b"")
+    raw = rejects.records_of_files(spark, f"file://{tmp_path}/*.csv").withColumn("line_id", F.concat(F.element_at(F.split("file_name", "/"), -1), F.lit(":"), "line_no"))
+    got = {r.line_id: (r.reason, r.latitude, r.name) for r in rejects.read_records(raw).collect()}
+    assert got == {"a.csv:1": (None, 50.0, "One\ntwo"), "a.csv:3": ("column_count", None, None), "a.csv:5": ("invalid_value", None, None), "b.csv:1": ("quoting", None, None)}
+
+
+def test_tagged_elements(spark, tmp_path):
+    from hexloom.sources import readers
+
+    rows = [(1, "way", {"highway": "primary"}, [(9.0, 50.0)]), (2, "way", {}, [(9.0, 50.0)]), (3, "node", {"amenity": "bar"}, [(1.0, 50.0)]), (4, "node", {"amenity": "bar"}, [(9.0, 50.0)])]
+    spark.createDataFrame([(i, k, t, [{"lon": a, "lat": b} for a, b in n]) for i, k, t, n in rows], readers.SCHEMAS["elements"]).write.parquet(f"{tmp_path}/e")
+    ids = lambda **kw: sorted(r.osm_id for r in readers.elements(spark, f"{tmp_path}/e", **kw).collect())
+    assert ids() == [1, 3, 4] and ids(keys=("amenity",)) == [3, 4] and ids(box=(8.0, 49.0, 10.0, 51.0)) == [1, 4]
+    assert readers.exists(spark, f"file://{tmp_path}/e") and not readers.exists(spark, f"file://{tmp_path}/no")

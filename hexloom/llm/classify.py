@@ -45,18 +45,36 @@ class _Features(dict):
 _FEATURES = _Features()
 
 
-def extras(tokens: list[str]) -> list[str]:
-    """Features of the message as a whole: words said again, words of one letter."""
-    words = [w for w in map(core, tokens) if w]
-    letters = [w for w in words if not w.isdigit()]
+def extras(words: list[str]) -> list[tuple[str, ...]]:
+    """Features of each tail of a message as a whole, the first being all of it: words said
+    again, words of one letter. ``words`` are the cores of its tokens, "" counts for nothing.
+
+    One pass from the end, so a tail has the same features whatever stands before it and
+    however long the message is.
+    """
+    seen: set[str] = set()
+    count = letters = single = 0
+    thrice = False
+    after = then = None
     out = []
-    if len(words) >= 3:
-        again = 1 - len(set(words)) / len(words)
-        out += [f"e again {b}" for b in range(2, 6) if again >= b / 6]
-        out += ["e thrice"] if any(a == b == c for a, b, c in zip(words, words[1:], words[2:])) else []
-    if len(letters) >= 3 and sum(len(set(w)) == 1 and len(w) > 1 for w in letters) >= 0.6 * len(letters):
-        out.append("e one letter")
-    return out
+    for w in reversed(words):
+        if w:
+            count += 1
+            seen.add(w)
+            thrice = thrice or w == after == then
+            after, then = w, after
+            if not w.isdigit():
+                letters += 1
+                single += len(set(w)) == 1 and len(w) > 1
+        f: list[str] = []
+        if count >= 3:
+            again = 1 - len(seen) / count
+            f += [f"e again {b}" for b in range(2, 6) if again >= b / 6]
+            f += ["e thrice"] if thrice else []
+        if letters >= 3 and single >= 0.6 * letters:
+            f.append("e one letter")
+        out.append(tuple(f))
+    return out[::-1]
 
 
 def features(tokens: list[str]) -> tuple[list[str], list[float]]:
@@ -68,8 +86,8 @@ def features(tokens: list[str]) -> tuple[list[str], list[float]]:
         f = _FEATURES[t]
         names += f
         values += [scale * max(1, len(f)) ** -0.5] * len(f)
-    more = extras(tokens)
-    return names + more, values + [1.0] * len(more)
+    more = extras(list(map(core, tokens)))[0] if tokens else ()
+    return [*names, *more], values + [1.0] * len(more)
 
 
 class Softmax:

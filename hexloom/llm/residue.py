@@ -240,15 +240,17 @@ class Judge:
 
         A template is judged as a whole and from each place where a sentence may begin
         inside it (a capital, a number, the end of a name) to its end, as headings run into
-        what follows them. A wildcard speaks for a name, whichever.
+        what follows them. A wildcard speaks for a name, whichever. What a part shows as a
+        whole counts in messages of any length.
         """
         tokens = [t for t in template.split() if _wild(t) or core(t)]
         n = len(tokens)
-        words = [core(t) for t in tokens if not _wild(t)]
+        cores = ["" if _wild(t) else core(t) for t in tokens]
+        words = [w for w in cores if w]
         if not words:
             return None
-        said_again = len(words) >= 3 and (len(set(words)) <= 0.67 * len(words) or any(len(set(w)) == 1 < len(w) for w in words))
-        if not said_again:
+        more = extras(cores)
+        if not any(more):
             # what no span can reach even if only the words for residue counted
             total, reach = 0.0, False
             for left, t in enumerate(reversed(tokens), 1):
@@ -261,11 +263,9 @@ class Judge:
         own = np.array([self.evidence[t][:-1] for t in tokens])
         back = np.cumsum(own[::-1], 0)[::-1]
         z = back / np.sqrt(np.arange(n, 0, -1.0))[:, None] + self.model.bias
-        if said_again:
-            for i in range(n) if n <= 64 else (0,):
-                f = extras([t for t in tokens[i:] if not _wild(t)])
-                if f:
-                    z[i] += self.model.total(f)
+        if any(more):
+            added = {f: self.model.total(f) for f in set(more)}
+            z += np.array([added[f] for f in more])
         lead = z[:, 1:].max(1) - z[:, 0]
         lead[0] -= SINGLE if len(words) == 1 else WHOLE
         best, most = -1, 0.0

@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from hexloom.llm import leakage, packing, queries, residue
+from hexloom.llm import classify, leakage, packing, queries, residue
 
 
 def brute(docs, items, n):
@@ -115,6 +115,35 @@ def test_residue_of_one(model, text, kinds):
     assert kinds_of(model, text) == kinds
 
 
+def test_extras_of_each_tail():
+    # by definition, tail by tail, which is quadratic
+    def whole(words):
+        words = [w for w in words if w]
+        letters = [w for w in words if not w.isdigit()]
+        again = 1 - len(set(words)) / len(words) if len(words) >= 3 else 0
+        out = [f"e again {b}" for b in range(2, 6) if again >= b / 6]
+        out += ["e thrice"] if any(a == b == c for a, b, c in zip(words, words[1:], words[2:])) else []
+        return out + (["e one letter"] if len(letters) >= 3 and sum(len(set(w)) == 1 < len(w) for w in letters) >= 0.6 * len(letters) else [])
+
+    rnd = random.Random(10)
+    for n in [*range(9), 63, 64, 65, 66, 200]:
+        for _ in range(20):
+            words = [rnd.choice(["", "0", "xxx", "zz", "a", "der", "klage", *map(str, range(rnd.choice([1, 40])))]) for _ in range(n)]
+            assert classify.extras(words) == [tuple(whole(words[i:])) for i in range(n)]
+
+
+PLAIN = "die kammer folgt der klägerin nicht weil sie den vortrag zu spät und ohne jeden beleg gehalten hat".split()
+
+
+@pytest.mark.parametrize("tail", ["qqqq qqqq qqqq qqqq", "inhalt inhalt inhalt", "folgt name folgt name folgt name"])
+def test_tail_counts_alike_in_messages_of_any_length(model, tail):
+    assert kinds_of(model, tail) == ["filler"]
+    for n in (5, 12, 17, 58, 59, 60, 61, 63, 64, 65, 200, 5000):
+        plain = [PLAIN[i % len(PLAIN)] for i in range(n)]
+        assert kinds_of(model, " ".join([*plain, "3"])) == []
+        assert kinds_of(model, " ".join([*plain, "3", tail])) == ["filler"]
+
+
 def test_wordings_unseen(spark):
     # of a corpus large enough to sample from; that of the other tests has a hundred texts
     got = {r.part: r for r in queries.p10_heldout(spark, "/root/testdata/sf0.01").collect()}

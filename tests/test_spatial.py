@@ -39,6 +39,37 @@ def test_nearest(pts):
     assert {r.k for r in near} == {p[0] for p in a if min(d(p, q) for q in b) <= 400}
 
 
+def test_nearest_around(spark, pts):
+    a, b, left, right = pts
+    offsets = [(300.0, 0.0), (-150.0, 260.0), (0.0, -280.0)]
+    mean = lambda p, k: sum(min(math.hypot(p[1] + dx - q[1], p[2] + dy - q[2]) for q in b if q[3] == k) for dx, dy in offsets) / 3
+    for start in (1.0, 700.0, 50_000.0):
+        got = {(r.k, r.kind): round(r.dist, 6) for r in spatial.nearest_around(left, right, "k", offsets, start, "kind", ["u", "v", "none"]).collect()}
+        assert got == {(p[0], k): round(mean(p, k), 6) for p in a for k in "uv"}
+    assert spatial.nearest_around(left, right, "k", offsets, 1.0, "kind", ["none"]).count() == 0
+    far = spark.createDataFrame([(1, 4e5, 4e5), (2, None, None)], "k long, x double, y double")
+    assert [round(r.dist, 3) for r in spatial.nearest_around(far, right.where("id = 0"), "k", [(0.0, 0.0)], 100.0, "kind", ["u", "v"]).collect()] == [round(math.hypot(4e5 - b[0][1], 4e5 - b[0][2]), 3)]
+
+
+def _shuffled(spark, run):
+    """Bytes that ``run`` writes to shuffles."""
+    store = spark.sparkContext._jsc.sc().statusStore()
+    total = lambda: sum(e.totalShuffleWrite() for e in [store.executorList(False).apply(i) for i in range(store.executorList(False).size())])
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    before = total()
+    run()
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    return total() - before
+
+
+def test_nearest_facility_reads_its_places_once(spark, sf):
+    """The objects are brought to their last version in one shuffle, and no pair is shuffled."""
+    from hexloom.plans import inputs, layers
+
+    one = _shuffled(spark, lambda: inputs.objects(spark, sf).write.format("noop").mode("overwrite").save())
+    assert _shuffled(spark, lambda: layers.nearest_facility(spark, sf).count()) < 3 * one + 8e6
+
+
 def test_anti_within(pts):
     a, b, left, right = pts
     assert {r.k for r in spatial.anti_within(left, right, "k", 600.0).collect()} == {p[0] for p in a if all(d(p, q) >= 600 for q in b)}

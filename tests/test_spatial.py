@@ -70,6 +70,13 @@ def test_nearest_facility_reads_its_places_once(spark, sf):
     assert _shuffled(spark, lambda: layers.nearest_facility(spark, sf).count()) < 3 * one + 8e6
 
 
+def test_schools_family_shuffles_no_pairs(spark, sf):
+    from hexloom.plans import assembly, inputs
+
+    one = _shuffled(spark, lambda: inputs.objects(spark, sf).write.format("noop").mode("overwrite").save())
+    assert _shuffled(spark, lambda: assembly.schools_family(spark, sf).count()) < 3 * one + 60e6
+
+
 def test_anti_within(pts):
     a, b, left, right = pts
     assert {r.k for r in spatial.anti_within(left, right, "k", 600.0).collect()} == {p[0] for p in a if all(d(p, q) >= 600 for q in b)}

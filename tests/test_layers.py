@@ -252,3 +252,12 @@ def test_tagged_elements(spark, tmp_path):
     ids = lambda **kw: sorted(r.osm_id for r in readers.elements(spark, f"{tmp_path}/e", **kw).collect())
     assert ids() == [1, 3, 4] and ids(keys=("amenity",)) == [3, 4] and ids(box=(8.0, 49.0, 10.0, 51.0)) == [1, 4]
     assert readers.exists(spark, f"file://{tmp_path}/e") and not readers.exists(spark, f"file://{tmp_path}/no")
+
+
+@pytest.mark.parametrize("name", ["assemble_layers", "validate_layers"])
+def test_layers_are_written_out_before_they_are_joined(spark, sf, name):
+    """What joins the layers reads one row a cell, never the objects or the builds again."""
+    from hexloom.plans import assembly
+
+    read = {f.split("/")[-2] if "part-" in f else f.split("/")[-1] for f in getattr(assembly, name)(spark, sf).inputFiles()}
+    assert read and not read & {"pois.parquet", "scores.parquet", "events.parquet", "orders.parquet", "schools_points.parquet"}

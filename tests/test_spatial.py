@@ -134,6 +134,20 @@ def test_door_to_door(spark):
     assert reach.percentile_index(5) == 2
 
 
+def test_door_to_door_wide(spark):
+    legs = spark.createDataFrame([(1, 7, "walk", 12.0, 14.0, None), (1, 7, "walk", 13.0, None, 35.0), (2, 7, "walk", 130.0, 5.0, None)], "center long, cell long, mode string, a double, b double, c double")
+    got = reach.door_to_door_wide(legs, [F.col("a"), F.col("b"), F.col("c")]).collect()
+    assert [(r.center, r.cell, r.minutes) for r in got] == [(1, 7, 14.0)]  # 130 is beyond the horizon
+
+
+def test_door_to_door_copies_no_leg(spark, sf):
+    """Iterations are columns of a leg, not rows."""
+    from hexloom.plans import scoring
+
+    plan = scoring.door_to_door(spark, sf)._jdf.queryExecution().optimizedPlan().toString()
+    assert "sequence(0, 4" not in plan and "[0,1,2,3,4]" not in plan.replace(" ", "") and "collect_list" not in plan
+
+
 def test_mbo_bounds(spark):
     rnd = random.Random(2)
     r = spark.createDataFrame([(c, x, "car", rnd.uniform(0, 119)) for c in range(6) for x in range(20)], "center long, cell long, mode string, minutes double")
